@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sheetloom import vocabulary as V
 from sheetloom.functions.text import (
-    SPACE,
     WORD_EDGE,
     as_column,
     blank_to_null,
@@ -29,8 +28,8 @@ def clean_program_type(c: Column | str) -> Column:
 def collapse_whitespace(c: Column | str) -> Column:
     """Runs of white space become one blank; blank values stay as they are."""
     c = as_column(c)
-    collapsed = F.trim(F.regexp_replace(c, pattern(SPACE + "+"), " "))
-    return F.when(collapsed != "", collapsed).otherwise(c)
+    collapsed = F.trim(F.regexp_replace(c, pattern(r"\s+"), " "))
+    return F.when(strip(c) != "", collapsed).otherwise(c)
 
 
 def normalise_gpa(c: Column | str) -> Column:
@@ -98,8 +97,8 @@ def display_text(c: Column | str, width: int = 30) -> Column:
 
 def gpa_number(c: Column | str) -> Column:
     """X11: first number, unless it fits no grading scale."""
-    found = F.regexp_extract(fold_digits(strip(c)), r"(\d+\.?\d*)", 1)
-    n = F.nullif(found, F.lit("")).try_cast("double")
+    found = F.regexp_extract(as_column(c), pattern(r"(\d+\.?\d*)"), 1)
+    n = fold_digits(found).try_cast("double")
     misfit = (n < 1) | ((n > 5) & (n < 70)) | (n > 100)
     return F.when(~misfit, n)
 

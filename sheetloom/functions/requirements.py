@@ -26,6 +26,15 @@ from sheetloom.functions.text import (
 _HIT_TYPE = "array<struct<exam_type:string,raw:string,score:double>>"
 
 
+_ROW_SQL = "named_struct('exam_type', '{2}', 'score', {3}D, 'code', '{0}', 'category', '{1}')"
+_STANDARDS_SQL = "map({})".format(
+    ", ".join(
+        f"'{code}', array({', '.join(_ROW_SQL.format(*row) for row in rows)})"
+        for code, rows in groupby(V.STANDARDS, key=lambda row: row[0])
+    )
+)
+
+
 def _no_strings() -> Column:
     return F.array().cast("array<string>")
 
@@ -100,19 +109,7 @@ def grade_codes(upper: Column | str, region: Column | str) -> Column:
 
 def code_rows(codes: Column | str) -> Column:
     """X5 within the row: the exam minimums behind each code."""
-    entries = []
-    for code, rows in groupby(sorted(V.STANDARDS), key=lambda r: r[0]):
-        structs = [
-            F.struct(
-                F.lit(exam).alias("exam_type"),
-                F.lit(score).alias("score"),
-                F.lit(code).alias("code"),
-                F.lit(category).alias("category"),
-            )
-            for _, category, exam, score in rows
-        ]
-        entries += [F.lit(code), F.array(*structs)]
-    standards = F.create_map(*entries)
+    standards = F.expr(_STANDARDS_SQL)
     return F.flatten(F.transform(as_column(codes), lambda c: F.try_element_at(standards, c)))
 
 

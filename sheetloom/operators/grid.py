@@ -23,13 +23,21 @@ def row_block(row: Column | str, size: int = BLOCK_ROWS) -> Column:
     return F.floor(F.col(row) / size) if isinstance(row, str) else F.floor(row / size)
 
 
+def top_cells(grid: DataFrame) -> DataFrame:
+    """The cells in which a header is looked for.
+
+    A staged grid is partitioned by the flag ``top``, so only these cells are
+    read from it.
+    """
+    top = grid.filter(F.col("row_idx") < HEADER_SEARCH_ROWS)
+    return top.filter("top").drop("top") if "top" in grid.columns else top
+
+
 def header_rows(
     grid: DataFrame, synonyms: list[tuple[str, str]] = V.HEADER_SYNONYMS
 ) -> DataFrame:
     """Per file the first of its first ten rows that holds a known header."""
-    cells = grid.filter(
-        (F.col("row_idx") < HEADER_SEARCH_ROWS) & (strip("value") != "")
-    ).select(
+    cells = top_cells(grid).filter(strip("value") != "").select(
         "file",
         "row_idx",
         F.struct("col_idx", F.replace(F.upper("value"), F.lit("\n"), F.lit(" ")).alias("text")).alias("cell"),
@@ -84,9 +92,9 @@ def header_map(
 
     ``column`` is the canonical name with a suffix from its second use on.
     """
-    top = grid.filter(F.col("row_idx") < HEADER_SEARCH_ROWS)
     cells = (
-        top.join(headers, "file")
+        top_cells(grid)
+        .join(headers, "file")
         .filter(F.col("row_idx") == F.col("header_row"))
         .withColumn("header", header_text(F.col("value"), F.col("col_idx")))
         .withColumn("canonical", canonical_name(F.col("header"), synonyms))
@@ -161,8 +169,7 @@ def inject_metadata(listing: DataFrame) -> DataFrame:
 
 def latest_file(df: DataFrame, file: str = "file") -> DataFrame:
     """Only the rows of the last file by name."""
-    last = df.agg(F.max(file).alias(file))
-    return df.join(last, file, "left_semi")
+    return df.filter(F.col(file) == df.agg(F.max(file)).scalar())
 
 
 def first_files(df: DataFrame, n: int = 3, file: str = "file") -> DataFrame:

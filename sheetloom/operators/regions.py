@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sheetloom import vocabulary as V
 from sheetloom.functions.fields import field
+from sheetloom.operators.grid import top_cells
 
 SALTS = 32
 REFERENCE_FILES = r"^202[45].*\.xlsx$"
@@ -36,19 +37,26 @@ def fill_region(df: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     return joined.withColumn("region", filled).drop("_nation", "_region")
 
 
+def is_reference_file(grid: DataFrame) -> Column:
+    """The file is the last one whose name marks it as a reference.
+
+    The name is found by a scalar subquery, whose result Spark pushes into the
+    scan as a plain file filter.
+    """
+    named = top_cells(grid).filter(F.col("file").rlike(REFERENCE_FILES))
+    return F.col("file") == named.agg(F.max("file")).scalar()
+
+
 def reference_regions(listing: DataFrame) -> DataFrame:
-    """Nation -> region of the last reference file; its last row wins."""
-    named = listing.filter(F.col("file").rlike(REFERENCE_FILES))
-    last = named.agg(F.max("file").alias("file"))
+    """Nation -> region of one file's rows; the last row wins."""
     return (
-        named.join(last, "file", "left_semi")
-        .dropna(subset=["nation", "region"])
+        listing.dropna(subset=["nation", "region"])
         .groupBy("nation")
-        .agg(F.max_by("region", "row_idx").alias("_region"))
+        .agg(F.max_by("region", "row_idx").alias("region"))
     )
 
 
-def backfill_region(listing: DataFrame) -> DataFrame:
+def backfill_region(listing: DataFrame, regions: DataFrame) -> DataFrame:
     """2023 files without a region column take it from the reference file.
 
     Should the lookup outgrow a broadcast, the salt spreads the rows of a common
@@ -61,9 +69,9 @@ def backfill_region(listing: DataFrame) -> DataFrame:
     )
     salt = F.pmod(F.hash("file", "row_idx"), F.lit(SALTS))
     keyed = listing.withColumns({"_nation": F.when(needs, F.col("nation")), "_salt": salt})
-    lookup = reference_regions(listing).select(
+    lookup = regions.select(
         F.col("nation").alias("_nation"),
-        "_region",
+        F.col("region").alias("_region"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
     )
     return keyed.join(lookup, ["_nation", "_salt"], "left").select(

@@ -14,6 +14,7 @@ from sheetloom.operators.merge import has_keys
 from sheetloom.plans import checks as C
 from sheetloom.plans.inputs import derived, derived_sql
 from sheetloom.plans.registry import query
+from sheetloom.sources.tables import read_table
 
 LISTING = derived_sql("d_listing")
 KEYS_SQL = f"{C.field('name_kor')} IS NOT NULL AND {C.field('name_eng')} IS NOT NULL AND {C.field('nation')} IS NOT NULL"
@@ -118,7 +119,7 @@ def summary_filter(spark: SparkSession, sf: str) -> DataFrame:
         WHERE NOT regexp_matches(text, '(?i)합계|소계|총계|nan')""",
 )
 def summary_filter_nan(spark: SparkSession, sf: str) -> DataFrame:
-    texts = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("text", "name_kor")
+    texts = read_table(spark, sf, "documents").withColumnRenamed("text", "name_kor")
     kept = K.drop_summary_rows(texts, nan_rule=True)
     return kept.select(F.col("doc_id").alias("id"), F.left("name_kor", F.lit(40)).alias("name_kor"))
 

@@ -9,7 +9,6 @@ from sheetloom import vocabulary as V
 from sheetloom.functions import fields as X
 from sheetloom.operators import grid as G
 from sheetloom.operators import reports as A
-from sheetloom.operators.regions import backfill_region
 from sheetloom.plans import checks as C
 from sheetloom.plans import ingest as I
 from sheetloom.plans.inputs import derived, derived_sql, sheet_cells, sheet_cells_sql
@@ -49,7 +48,7 @@ _SEMESTER = (
 )
 
 BACKFILLED = f"""{TABLE},
-    reffile AS (SELECT max(file) AS file FROM body WHERE regexp_matches(file, '^202[45].*\\.xlsx$')),
+    reffile AS (SELECT max(file) AS file FROM cells WHERE regexp_matches(file, '^202[45].*\\.xlsx$')),
     refmap AS (SELECT nation, arg_max(region, row_idx) AS region FROM body
         WHERE file = (SELECT file FROM reffile) AND nation IS NOT NULL AND region IS NOT NULL GROUP BY nation),
     filled AS (SELECT b.* EXCLUDE (region), CASE WHEN contains(b.file, '2023') AND NOT {_HAS.format('region')} AND {_HAS.format('nation')}
@@ -93,9 +92,7 @@ def _mapped(spark: SparkSession, sf: str) -> DataFrame:
 
 def _staged(spark: SparkSession, sf: str) -> DataFrame:
     """The grid as a written table, as a run over workbooks has it."""
-    path = run_dir(spark, "grid")
-    _grid(spark, sf).write.parquet(path)
-    return spark.read.parquet(path)
+    return I.stage_grid(_grid(spark, sf))
 
 
 @query("header_detect", f"WITH {GRID} SELECT file, header_row FROM heads")
@@ -161,14 +158,12 @@ def semester_from_name(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("region_backfill", f"WITH {BACKFILLED} SELECT file, row_idx, nation, region FROM filled")
 def region_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    grid = _grid(spark, sf)
-    table = G.grid_to_table(grid, G.header_map(grid, G.header_rows(grid)))
-    return backfill_region(table).select("file", "row_idx", "nation", "region")
+    return I.assemble(_staged(spark, sf)).select("file", "row_idx", "nation", "region")
 
 
 @query("metadata_inject", f"WITH {EXTRACTED} SELECT file, row_idx, filename, semester, recruitment_round FROM extracted")
 def metadata_inject(spark: SparkSession, sf: str) -> DataFrame:
-    listing = I.extract_listing(_grid(spark, sf))
+    listing = I.extract_listing(_staged(spark, sf))
     return listing.select("file", "row_idx", "filename", "semester", "recruitment_round")
 
 

@@ -11,7 +11,7 @@ from sheetloom import vocabulary as V
 from sheetloom.operators import grid as G
 from sheetloom.operators import merge as M
 from sheetloom.operators.clean import clean, clean_values, drop_empty_rows, drop_summary_rows, forward_fill
-from sheetloom.operators.regions import backfill_region
+from sheetloom.operators.regions import backfill_region, is_reference_file, reference_regions
 from sheetloom.session import run_dir
 from sheetloom.sources.workbook import read_workbooks
 
@@ -26,26 +26,39 @@ class Ingested:
     bad_files: DataFrame
 
 
-def stage_grid(spark: SparkSession, source: str, latest_only: bool = False) -> DataFrame:
-    """Decode workbooks once into a shared table that later steps scan by column."""
-    path = run_dir(spark, "grid")
-    read_workbooks(spark, source, latest_only).write.parquet(path)
-    return spark.read.parquet(path)
+def stage(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """Write a step that later steps read several times to the shared folder."""
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.partitionBy(*partitions).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_grid(grid: DataFrame) -> DataFrame:
+    """The grid as a table in which header cells are a partition of their own."""
+    return stage(grid.withColumn("top", F.col("row_idx") < G.HEADER_SEARCH_ROWS), "grid", "top")
+
+
+def assemble(grid: DataFrame) -> DataFrame:
+    """S6-S10 and J2."""
+    mapped = G.header_map(grid, G.header_rows(grid))
+    wanted = is_reference_file(grid)
+    reference = G.grid_to_table(grid.filter(wanted), mapped.filter(wanted))
+    return backfill_region(G.grid_to_table(grid, mapped), reference_regions(reference))
 
 
 def extract_listing(grid: DataFrame) -> DataFrame:
-    """S6-S10, J2, S5."""
-    headers = G.header_rows(grid)
-    table = G.grid_to_table(grid, G.header_map(grid, headers))
-    return G.inject_metadata(backfill_region(table))
+    """S5 on top of the assembled rows."""
+    return G.inject_metadata(assemble(grid))
 
 
 def ingest_grid(grid: DataFrame, nan_rule: bool = False, regions: DataFrame | None = None) -> Ingested:
-    """Extract, clean and derive all files of a grid in one lazy plan.
+    """Extract, clean and derive all files of a staged grid.
 
-    A file without a header row goes to ``bad_files``; the others go on.
+    A file without a header row goes to ``bad_files``; the others go on.  The
+    extracted rows are written once, because filling reads them twice.
     """
-    extracted = extract_listing(grid)
+    extracted = stage(extract_listing(grid), "listing")
     cleaned = clean(extracted, nan_rule)
     bad = G.files_without_header(grid, G.header_rows(grid))
     return Ingested(extracted, cleaned, M.derive_entities(cleaned, regions), bad)
@@ -53,7 +66,7 @@ def ingest_grid(grid: DataFrame, nan_rule: bool = False, regions: DataFrame | No
 
 def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False) -> Ingested:
     """Everything up to the load; loading is a step of the caller."""
-    staged = stage_grid(spark, source, latest_only)
+    staged = stage_grid(read_workbooks(spark, source, latest_only))
     unreadable = staged.filter(F.col("error").isNotNull()).select(
         "file", F.col("error").alias("reason")
     )
@@ -70,8 +83,7 @@ def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False
 
 def export_table(grid: DataFrame) -> DataFrame:
     """The cleaned listing without file metadata, for a CSV export."""
-    headers = G.header_rows(grid)
-    listing = backfill_region(G.grid_to_table(grid, G.header_map(grid, headers)))
+    listing = stage(assemble(grid), "listing")
     filled = forward_fill(clean_values(listing), V.FILLED_COLUMNS)
     return drop_summary_rows(drop_empty_rows(filled)).select("file", "row_idx", *V.CANONICAL_COLUMNS)
 

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetloom.sources.tables import read_table
+
 TABLES = ["region", "nation", "customer", "orders", "part", "events", "documents", "pages"]
 
 
@@ -190,7 +192,7 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the inputs as a DataFrame; only the columns in use are read."""
     text = INPUTS[name].replace("strpos_of(", "instr(")
     used = re.findall(r"\{(\w+)\}", text)
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(text, **{t: read_table(spark, sf_dir, t) for t in used})
 
 
 def derived_sql(name: str) -> str:
