@@ -44,7 +44,7 @@ def list_workbooks(spark: SparkSession, path: str, latest_only: bool = False) ->
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.{xlsx,xls}")
         .load(path)
-        .select("path", F.col("_metadata.file_name").alias("file"), "content")
+        .select("path", F.substring_index("path", "/", -1).alias("file"), "content")
         .filter(~F.col("file").startswith("~"))
     )
     return latest_file(files) if latest_only else files
