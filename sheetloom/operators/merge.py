@@ -113,9 +113,22 @@ def semester_list(semesters: Column | str) -> Column:
     return F.when(F.size(values) == 1, values[0]).when(F.size(values) > 1, listed)
 
 
+def existing_keys(known: DataFrame, states: DataFrame) -> DataFrame:
+    """The stored keys among those of a batch.
+
+    A small batch is broadcast into the scan of the stored keys.
+    """
+    return known.select(*KEY).join(states.select(*KEY), KEY, "left_semi")
+
+
 def new_keys(states: DataFrame, known: DataFrame) -> DataFrame:
     """States whose key is not yet stored."""
-    return states.join(known.select(*KEY), KEY, "left_anti")
+    return states.join(existing_keys(known, states), KEY, "left_anti")
+
+
+def first_positions(entities: DataFrame) -> DataFrame:
+    """Keys with the place where each first appears."""
+    return entities.groupBy(*KEY).agg(F.min(F.struct("file", "row_idx")).alias("first_seen"))
 
 
 def assign_ids(states: DataFrame, start: int = 0) -> DataFrame:

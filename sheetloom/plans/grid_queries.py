@@ -15,7 +15,7 @@ from sheetloom.plans.inputs import derived, derived_sql, sheet_cells, sheet_cell
 from sheetloom.plans.merge_checks import entity_select, merged_ctes
 from sheetloom.plans.registry import query
 from sheetloom.session import run_dir
-from sheetloom.sources.sinks import read_csv, read_tables, write_csv, write_tables
+from sheetloom.sources.sinks import read_csv, write_csv
 
 _SYNONYMS = [(i, s, c) for i, (s, c) in enumerate(V.HEADER_SYNONYMS)]
 
@@ -191,16 +191,12 @@ _MERGED = f"WITH {ENTITIES}, {merged_ctes('entities')}"
 
 @query("catalogue_university", f"{_MERGED} SELECT * FROM university")
 def catalogue_university(spark: SparkSession, sf: str) -> DataFrame:
-    university, _ = I.full_load(I.ingest_grid(_staged(spark, sf)).entities)
-    return university
+    return I.merged_university(I.ingest_grid(_staged(spark, sf)).entities)
 
 
 @query("catalogue_requirement", f"{_MERGED} SELECT * FROM requirement")
 def catalogue_requirement(spark: SparkSession, sf: str) -> DataFrame:
-    """Written and read back, as the stored tables are."""
-    path = run_dir(spark, "tables")
-    write_tables(*I.full_load(I.ingest_grid(_staged(spark, sf)).entities), path)
-    return read_tables(spark, path)[1]
+    return I.full_load(I.ingest_grid(_staged(spark, sf)).entities)[1]
 
 
 _EXPORT = f"WITH {BACKFILLED}, {_cleaned_sql('filled')}"

@@ -13,6 +13,8 @@ from sheetloom.operators import merge as M
 from sheetloom.operators.clean import clean, clean_values, drop_empty_rows, drop_summary_rows, forward_fill
 from sheetloom.operators.regions import backfill_region, is_reference_file, reference_regions
 from sheetloom.session import run_dir
+from sheetloom.sources.sinks import write_tables
+from sheetloom.sources.staging import stage
 from sheetloom.sources.workbook import read_workbooks
 
 
@@ -26,25 +28,22 @@ class Ingested:
     bad_files: DataFrame
 
 
-def stage(df: DataFrame, name: str, *partitions: str) -> DataFrame:
-    """Write a step that later steps read several times to the shared folder."""
-    spark = df.sparkSession
-    path = run_dir(spark, name)
-    df.write.partitionBy(*partitions).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def stage_grid(grid: DataFrame) -> DataFrame:
     """The grid as a table in which header cells are a partition of their own."""
     return stage(grid.withColumn("top", F.col("row_idx") < G.HEADER_SEARCH_ROWS), "grid", "top")
 
 
 def assemble(grid: DataFrame) -> DataFrame:
-    """S6-S10 and J2."""
-    mapped = G.header_map(grid, G.header_rows(grid))
+    """S6-S10 and J2.
+
+    The header map and the region lookup are written first: both are small, and
+    the joins with the rows are planned by their real size.
+    """
+    mapped = stage(G.header_map(grid, G.header_rows(grid)), "headers")
     wanted = is_reference_file(grid)
     reference = G.grid_to_table(grid.filter(wanted), mapped.filter(wanted))
-    return backfill_region(G.grid_to_table(grid, mapped), reference_regions(reference))
+    regions = stage(reference_regions(reference), "regions")
+    return backfill_region(G.grid_to_table(grid, mapped), regions)
 
 
 def extract_listing(grid: DataFrame) -> DataFrame:
@@ -88,8 +87,22 @@ def export_table(grid: DataFrame) -> DataFrame:
     return drop_summary_rows(drop_empty_rows(filled)).select("file", "row_idx", *V.CANONICAL_COLUMNS)
 
 
-def full_load(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both tables from a full refresh."""
+def merged_university(entities: DataFrame) -> DataFrame:
+    """The entity table of a full refresh.
+
+    Ids are numbered on the keys alone, so that only those go through the
+    checkpoint; the states are already partitioned by key when the ids join.
+    """
     valid, _ = M.split_valid(entities)
-    university = M.university_table(M.assign_ids(M.collapse(valid)))
-    return university, M.requirement_table(university)
+    ids = M.assign_ids(M.first_positions(valid)).select(*M.KEY, "id")
+    return M.university_table(M.collapse(valid).join(ids, M.KEY))
+
+
+def full_load(entities: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write both tables of a full refresh and read them back.
+
+    Requirements are extracted from the stored entities: only the latest row
+    of each entity is parsed.
+    """
+    path = path or run_dir(entities.sparkSession, "tables")
+    return write_tables(merged_university(entities), M.requirement_table, path)

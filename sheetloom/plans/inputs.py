@@ -17,6 +17,9 @@ from sheetloom.sources.tables import read_table
 TABLES = ["region", "nation", "customer", "orders", "part", "events", "documents", "pages"]
 
 
+DIMENSIONS = ["region", "nation"]
+
+
 def _case(number: str, values: list[str]) -> str:
     whens = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
     return f"CASE {number} % {len(values)} {whens} END"
@@ -192,7 +195,7 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the inputs as a DataFrame; only the columns in use are read."""
     text = INPUTS[name].replace("strpos_of(", "instr(")
     used = re.findall(r"\{(\w+)\}", text)
-    return spark.sql(text, **{t: read_table(spark, sf_dir, t) for t in used})
+    return spark.sql(text, **{t: read_table(spark, sf_dir, t, small=t in DIMENSIONS) for t in used})
 
 
 def derived_sql(name: str) -> str:

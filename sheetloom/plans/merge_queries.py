@@ -36,7 +36,7 @@ def entity_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_latest", f"{MERGED} SELECT * FROM university")
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.university_table(M.assign_ids(M.collapse(valid_entities(spark, sf))))
+    return I.merged_university(entities(spark, sf))
 
 
 @query("semester_accumulate", f"{MERGED} SELECT name_eng, nation, semester FROM accumulated")
@@ -48,9 +48,7 @@ def semester_accumulate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("surrogate_ids", f"{MERGED} SELECT id, name_eng, nation FROM firsts")
 def surrogate_ids(spark: SparkSession, sf: str) -> DataFrame:
-    position = F.min(F.struct("file", "row_idx")).alias("first_seen")
-    keys = valid_entities(spark, sf).groupBy(*M.KEY).agg(position)
-    return M.assign_ids(keys).select("id", *M.KEY)
+    return M.assign_ids(M.first_positions(valid_entities(spark, sf))).select("id", *M.KEY)
 
 
 @query("child_replace", f"{MERGED} SELECT * FROM requirement")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,19 +28,24 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def write_tables(university: DataFrame, requirements: DataFrame, path: str) -> None:
-    """Both tables as Parquet.
+def write_tables(
+    university: DataFrame, derive: Callable[[DataFrame], DataFrame], path: str
+) -> tuple[DataFrame, DataFrame]:
+    """Write the entities, derive their requirements from them, write those.
 
     Requirements are range-partitioned and sorted by exam and score, so that a
     score search reads only the row groups of its exam.
     """
+    spark = university.sparkSession
     university.write.mode("overwrite").parquet(f"{path}/university")
     (
-        requirements.repartitionByRange("exam_type", "min_score", "university_id")
+        derive(spark.read.parquet(f"{path}/university"))
+        .repartitionByRange("exam_type", "min_score", "university_id")
         .sortWithinPartitions("exam_type", "min_score")
         .write.mode("overwrite")
         .parquet(f"{path}/language_requirement")
     )
+    return read_tables(spark, path)
 
 
 def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -15,5 +15,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, small: bool = False) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return table if small else spread(table)

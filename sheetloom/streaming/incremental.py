@@ -26,6 +26,7 @@ from sheetloom.operators.merge import (
     university_table,
 )
 from sheetloom.session import shared_dir
+from sheetloom.sources.staging import stage
 
 _TYPES = {"min_gpa": "double", "is_exchange": "boolean", "is_visit": "boolean", "has_review": "boolean"}
 _LATEST = ",".join(f"{c}:{_TYPES.get(c, 'string')}" for c in ATTRIBUTES)
@@ -65,18 +66,20 @@ class CatalogueStore:
 
     def states(self, before: int | None = None) -> DataFrame:
         """Merged state records, optionally only of earlier batches."""
+        return combine(self._records(before))
+
+    def _records(self, before: int | None = None) -> DataFrame:
+        """All state records; a key has one per batch that touched it."""
         records = self._read("state", STATE_SCHEMA + ", batch bigint")
         if records is None:
             return self.spark.createDataFrame([], STATE_SCHEMA)
         if before is not None:
             records = records.filter(F.col("batch") < before)
         base = self._compacted(before)
-        if base is not None:
-            upto, merged = base
-            records = records.filter(F.col("batch") > upto).drop("batch").unionByName(merged)
-        else:
-            records = records.drop("batch")
-        return combine(records)
+        if base is None:
+            return records.drop("batch")
+        upto, merged = base
+        return records.filter(F.col("batch") > upto).drop("batch").unionByName(merged)
 
     def _compacted(self, before: int | None) -> tuple[int, DataFrame] | None:
         markers = self._read("markers", "id bigint, upto bigint")
@@ -92,8 +95,8 @@ class CatalogueStore:
 
     def apply(self, entities: DataFrame, batch: int) -> None:
         """Merge one batch of derived listing rows."""
-        stored = self.states(before=batch)
-        states = collapse(entities.filter(has_keys())).checkpoint()
+        stored = self._records(before=batch)
+        states = stage(collapse(entities.filter(has_keys())), "batch")
         last_id = stored.agg(F.max("id")).first()[0] or 0
         fresh = assign_ids(new_keys(states, stored).select(*KEY, "first_seen"), last_id)
         states.join(fresh.select(*KEY, "id"), KEY, "left").write.mode("overwrite").parquet(

@@ -11,7 +11,7 @@ from sheetloom.operators import search as S
 from sheetloom.operators.ids import sequence_ids
 from sheetloom.plans.ingest import full_load
 from sheetloom.session import run_dir
-from sheetloom.sources.sinks import read_tables, write_tables
+from sheetloom.sources.sinks import read_tables
 from sheetloom.streaming.incremental import CatalogueStore, start_incremental
 
 COLUMNS = ["file", "row_idx", *V.CANONICAL_COLUMNS]
@@ -202,7 +202,7 @@ def test_snapshot_and_search(spark, tmp_path):
             row("e"),
         )
     )
-    write_tables(*full_load(entities), str(tmp_path))
+    full_load(entities, str(tmp_path))
     university, requirements = read_tables(spark, str(tmp_path))
 
     def found(*args, **options):
