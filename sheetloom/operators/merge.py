@@ -147,6 +147,11 @@ def university_table(states: DataFrame) -> DataFrame:
     ).filter(F.col("semester").isNotNull())
 
 
+def rejected_entities(states: DataFrame) -> DataFrame:
+    """Keys that no row gives a semester for, with their latest row."""
+    return states.filter(F.size("semesters") == 0).select(*KEY, "last_seen.file", "last_seen.row_idx")
+
+
 def requirement_table(university: DataFrame, waiver_mode: str = "legacy") -> DataFrame:
     """M4: requirements of the stored row of each entity.
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sheetloom import vocabulary as V
 from sheetloom.operators import grid as G
@@ -15,7 +16,8 @@ from sheetloom.operators.regions import backfill_region, is_reference_file, refe
 from sheetloom.session import run_dir
 from sheetloom.sources.sinks import write_tables
 from sheetloom.sources.staging import stage
-from sheetloom.sources.workbook import read_workbooks
+from sheetloom.sources.workbook import read_workbooks, stream_workbooks
+from sheetloom.streaming.incremental import CatalogueStore, start_incremental
 
 
 @dataclass
@@ -63,23 +65,38 @@ def ingest_grid(grid: DataFrame, nan_rule: bool = False, regions: DataFrame | No
     return Ingested(extracted, cleaned, M.derive_entities(cleaned, regions), bad)
 
 
-def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False) -> Ingested:
-    """Everything up to the load; loading is a step of the caller."""
-    staged = stage_grid(read_workbooks(spark, source, latest_only))
+def ingest_cells(cells: DataFrame) -> Ingested:
+    """The same for decoded workbooks, of which some may be unreadable.
+
+    Nothing of a file that failed half-way is used.
+    """
+    staged = stage_grid(cells)
     unreadable = staged.filter(F.col("error").isNotNull()).select(
         "file", F.col("error").alias("reason")
     )
-    cells = (
-        staged.filter(F.col("error").isNull())
-        .drop("error")
-        .join(unreadable.select("file"), "file", "left_anti")
-    )
-    result = ingest_grid(cells)
+    readable = staged.filter(F.col("error").isNull()).drop("error")
+    result = ingest_grid(readable.join(unreadable.select("file"), "file", "left_anti"))
     return Ingested(
         result.extracted, result.cleaned, result.entities, result.bad_files.unionByName(unreadable)
     )
 
 
+def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False) -> Ingested:
+    """Everything up to the load; loading is a step of the caller."""
+    return ingest_cells(read_workbooks(spark, source, latest_only))
+
+
+def watch_workbooks(
+    spark: SparkSession, source: str, store: CatalogueStore, checkpoint: str, files_per_batch: int = 1000
+) -> StreamingQuery:
+    """ST1 from a folder: workbooks that arrived since the last run are merged.
+
+    A reference file for missing regions is looked for within the same batch.
+    """
+    cells = stream_workbooks(spark, source, files_per_batch)
+    return start_incremental(cells, lambda batch: ingest_cells(batch).entities, store, checkpoint)
+
+
 def export_table(grid: DataFrame) -> DataFrame:
     """The cleaned listing without file metadata, for a CSV export."""
     listing = stage(assemble(grid), "listing")

@@ -108,7 +108,7 @@ INPUTS = {
                     ELSE c_name END AS name_eng,
                CASE WHEN o_orderkey % 43 = 0 THEN CAST(NULL AS STRING) ELSE n_name END AS nation,
                CASE r_name WHEN 'EUROPE' THEN '유럽' WHEN 'ASIA' THEN '아시아' ELSE '미분류' END AS region,
-               CASE WHEN o_orderkey % 29 = 0 THEN CAST(NULL AS STRING)
+               CASE WHEN o_orderkey % 29 = 0 OR c_custkey % 40 = 7 THEN CAST(NULL AS STRING)
                     ELSE concat(CAST(year(o_orderdate) AS STRING), '-',
                          CASE WHEN month(o_orderdate) IN (7, 8) THEN '여름' WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END)
                     END AS semester,

@@ -39,6 +39,16 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     return I.merged_university(entities(spark, sf))
 
 
+@query(
+    "rejected_entities",
+    f"""{MERGED}, winners AS (SELECT name_eng, nation, file, row_idx FROM winner)
+        SELECT * FROM winners w WHERE NOT EXISTS (
+            SELECT 1 FROM accumulated a WHERE a.name_eng = w.name_eng AND a.nation = w.nation)""",
+)
+def rejected_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return M.rejected_entities(M.collapse(valid_entities(spark, sf)))
+
+
 @query("semester_accumulate", f"{MERGED} SELECT name_eng, nation, semester FROM accumulated")
 def semester_accumulate(spark: SparkSession, sf: str) -> DataFrame:
     sets = valid_entities(spark, sf).groupBy(*M.KEY).agg(F.collect_set("semester").alias("semesters"))

@@ -110,6 +110,16 @@ def null_audit(spark: SparkSession, sf: str) -> DataFrame:
     return A.null_audit(_university(spark, sf), _AUDITED)
 
 
+@query("count_all", f"{TABLES} SELECT count(*) AS n FROM university")
+def count_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _university(spark, sf).agg(F.count("*").alias("n"))
+
+
+@query("distinct_names", f"{TABLES} SELECT DISTINCT name_eng FROM university")
+def distinct_names(spark: SparkSession, sf: str) -> DataFrame:
+    return _university(spark, sf).select("name_eng").distinct()
+
+
 @query("distinct_badges", f"{TABLES} SELECT DISTINCT badge FROM university WHERE badge IS NOT NULL")
 def distinct_badges(spark: SparkSession, sf: str) -> DataFrame:
     return _university(spark, sf).select("badge").dropna().distinct()

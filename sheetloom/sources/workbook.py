@@ -29,34 +29,50 @@ _ARROW_SCHEMA = pa.schema(
         ("error", pa.string()),
     ]
 )
+_NAMES = "*.{xlsx,xls}"
 _BATCH_CELLS = 50_000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
 def list_workbooks(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
-    """``path, file`` of the spreadsheets in a folder, or of one file.
+    """``file, content`` of the spreadsheets in a folder, or of one file.
 
     Lock files, whose names start with ``~``, are left out.  A missing path is
     an error.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{xlsx,xls}")
-        .load(path)
-        .select("path", F.substring_index("path", "/", -1).alias("file"), "content")
-        .filter(~F.col("file").startswith("~"))
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", _NAMES)
+    files = _named(reader.load(path))
     return latest_file(files) if latest_only else files
 
 
+def _named(files: DataFrame) -> DataFrame:
+    file = F.substring_index("path", "/", -1)
+    return files.select(file.alias("file"), "content").filter(~F.col("file").startswith("~"))
+
+
 def read_workbooks(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
     """The cells of the active sheet of every workbook, cached values only.
 
     A workbook that cannot be read gives one row with ``error`` set instead of
     failing the job; old binary ``.xls`` files are reported this way.
     """
-    files = list_workbooks(spark, path, latest_only)
+    return decode(list_workbooks(spark, path, latest_only))
+
+
+def stream_workbooks(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """S1 as a stream: the cells of workbooks as they arrive in a folder."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("pathGlobFilter", _NAMES)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+    )
+    return decode(_named(files))
+
+
+def decode(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInArrow(_decode_batches, GRID_SCHEMA)
 
 
@@ -97,17 +113,19 @@ def sheet_cells(source: io.IOBase) -> Iterator[tuple[int, int, str | None]]:
     with zipfile.ZipFile(source) as book:
         strings = _shared_strings(book)
         with book.open(_active_sheet(book)) as sheet:
-            row_no = -1
+            row_no, rows = -1, None
             for event, element in ElementTree.iterparse(sheet, events=("start", "end")):
                 if event == "start":
-                    if element.tag == _MAIN + "row":
+                    if element.tag == _MAIN + "sheetData":
+                        rows = element
+                    elif element.tag == _MAIN + "row":
                         row_no = int(element.get("r", row_no + 2)) - 1
                         col_no = -1
                 elif element.tag == _MAIN + "c":
                     col_no = _column_number(element.get("r"), col_no + 1)
                     yield row_no, col_no, _cell_text(element, strings)
                 elif element.tag == _MAIN + "row":
-                    element.clear()
+                    rows.clear()  # drop the finished row, also from its parent
 
 
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:

@@ -22,6 +22,7 @@ from sheetloom.operators.merge import (
     combine,
     has_keys,
     new_keys,
+    rejected_entities,
     requirement_table,
     university_table,
 )
@@ -48,13 +49,13 @@ class CatalogueStore:
     def reset(self) -> None:
         """Forget everything stored, before a full refresh."""
         nothing = self.spark.createDataFrame([], STATE_SCHEMA)
-        number = F.lit(-1).cast("long")
-        for name, column, rows in (
+        for name, number, rows in (
             ("markers", "upto", nothing.select("id")),
             ("compacted", "upto", nothing),
             ("state", "batch", nothing),
         ):
-            rows.withColumn(column, number).write.mode("overwrite").parquet(f"{self.path}/{name}")
+            numbered = rows.withColumn(number, F.lit(0).cast("long"))
+            numbered.write.mode("overwrite").partitionBy(number).parquet(f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame | None:
         try:
@@ -88,7 +89,7 @@ class CatalogueStore:
         if before is not None:
             markers = markers.filter(F.col("upto") < before)
         upto = markers.agg(F.max("upto")).first()[0]
-        if upto is None or upto < 0:
+        if upto is None:
             return None
         base = self._read("compacted", STATE_SCHEMA + ", upto bigint")
         return upto, base.filter(F.col("upto") == upto).drop("upto")
@@ -117,6 +118,9 @@ class CatalogueStore:
     def university(self) -> DataFrame:
         return university_table(self.states())
 
+    def rejected(self) -> DataFrame:
+        return rejected_entities(self.states())
+
     def language_requirement(self) -> DataFrame:
         return requirement_table(self.university())
 

@@ -90,6 +90,8 @@ def test_keys_are_exact_and_required(spark):
 def test_entities_without_semester_are_rejected(spark):
     got, _ = load(spark, row("a", semester=None), row("b", semester=None), row("b", semester="2024-1"), row("b", semester=None))
     assert set(got) == {"b"} and got["b"].semester == "2024-1"
+    states = M.collapse(M.derive_entities(listing(spark, row("a", semester=None), row("a", semester=" "), row("b"))))
+    assert [(r.name_eng, r.row_idx) for r in M.rejected_entities(states).collect()] == [("a", 1)]
 
 
 def test_stats(spark):

@@ -4,8 +4,16 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sheetloom.plans.ingest import assemble, export_table, full_load, ingest_workbooks, stage_grid
+from sheetloom.plans.ingest import (
+    assemble,
+    export_table,
+    full_load,
+    ingest_workbooks,
+    stage_grid,
+    watch_workbooks,
+)
 from sheetloom.sources.workbook import list_workbooks, read_workbooks
+from sheetloom.streaming.incremental import CatalogueStore
 from workbooks import write_workbook
 
 BASIC = [["국가", "대학명", "어학조건"], ["미국", "Harvard", "TOEFL 100"], ["일본", "Tokyo University", "JLPT N1"]]
@@ -107,6 +115,24 @@ def test_whole_run(spark, tmp_path):
     }
 
 
+def test_arriving_workbooks(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    _folder(source)
+    late = source / "2024-2 교환학생(1차).xlsx"
+    content = late.read_bytes()
+    late.write_bytes(b"still copying")
+    store = CatalogueStore(spark, str(tmp_path / "store"))
+    for _ in range(2):
+        watch_workbooks(spark, str(source), store, str(tmp_path / "checkpoint"), files_per_batch=2).awaitTermination()
+        (source / "2024-2 교환학생(2차).xlsx").write_bytes(content)
+    rows = {r.name_eng: r for r in store.university().collect()}
+    assert set(rows) == {"Harvard", "MIT"}
+    assert rows["Harvard"].semester == "2024-2, 2024-1" and rows["Harvard"].is_visit
+    assert {r.exam_type for r in store.language_requirement().collect()} == {"TOEFL", "IELTS", "TOEIC", "TOEFL_ITP"}
+    assert sorted(r.id for r in rows.values()) == [1, 2]
+
+
 def test_export_has_no_file_semester(spark, tmp_path):
     _folder(tmp_path)
     cells = read_workbooks(spark, str(tmp_path)).filter(F.col("error").isNull()).drop("error")
