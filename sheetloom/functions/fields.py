@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ from sheetloom.functions.text import (
     strip,
 )
 
+_YEARS = r"(20\d{2}(?:\s*-\s*20\d{2})?)"
+
 
 def clean_program_type(c: Column | str) -> Column:
     """Strip, then remove line breaks."""
@@ -51,18 +51,18 @@ def field(c: Column | str, default: str | None = None) -> Column:
 
 
 def is_exchange(program_type: Column | str) -> Column:
-    """C5."""
-    return field(program_type, V.DEFAULT_PROGRAM).contains(V.EXCHANGE_WORD)
+    """C5, of a C4 value."""
+    return F.coalesce(as_column(program_type), F.lit(V.DEFAULT_PROGRAM)).contains(V.EXCHANGE_WORD)
 
 
 def is_visit(program_type: Column | str) -> Column:
-    """C5."""
-    return field(program_type, V.DEFAULT_PROGRAM).contains(V.VISIT_WORD)
+    """C5, of a C4 value."""
+    return F.coalesce(as_column(program_type), F.lit(V.DEFAULT_PROGRAM)).contains(V.VISIT_WORD)
 
 
 def join_remarks(*parts: Column | str) -> Column:
-    """Non-empty parts on separate lines, '' when there is none."""
-    return F.concat_ws("\n", *[field(p) for p in parts])
+    """C6, of C4 values: the non-null ones on separate lines, '' when there is none."""
+    return F.concat_ws("\n", *[as_column(p) for p in parts])
 
 
 def requirement_label(exam: Column | str, score: Column | str, code: Column | str) -> Column:
@@ -105,32 +105,30 @@ def gpa_number(c: Column | str) -> Column:
 
 def first_url(c: Column | str) -> Column:
     """First address with protocol or ``www.``, else first bare domain."""
-    t = strip(c)
+    t = as_column(c)
     tail = r"[^\s()\[\]{}]+"
-    marked = extract_or_null(t, r"(?:https?://|www\.)" + tail, 0)
-    bare = extract_or_null(
-        t, WORD_EDGE + r"[a-zA-Z0-9-]+\.[a-zA-Z]{2,}(?:[/?#]" + tail + ")?" + WORD_EDGE, 0
-    )
-    url = F.coalesce(marked, bare)
-    has_protocol = url.startswith("http://") | url.startswith("https://")
-    return F.when(has_protocol, url).otherwise(F.concat(F.lit("http://"), url))
+
+    def first(regex: str) -> Column:
+        return F.get(F.regexp_extract_all(t, F.lit(pattern(regex)), F.lit(0)), F.lit(0))
+
+    marked = first(r"(?:https?://|www\.)" + tail)
+    bare = first(WORD_EDGE + r"[a-zA-Z0-9-]+\.[a-zA-Z]{2,}(?:[/?#]" + tail + ")?" + WORD_EDGE)
+    return F.regexp_replace(F.coalesce(marked, bare), "^(?!https?://)", "http://")
 
 
 def review_year(c: Column | str) -> Column:
-    """A year or a range of years in a text that is not a plain no."""
-    t = blank_to_null(c)
-    year = extract_or_null(t, r"(20\d{2}(?:\s*-\s*20\d{2})?)", 1)
-    return F.when(~F.upper(t).isin(V.REVIEW_NEGATIVE), year)
+    """A year or a range of years."""
+    return F.get(F.regexp_extract_all(as_column(c), F.lit(pattern(_YEARS)), F.lit(1)), F.lit(0))
 
 
 def has_review(c: Column | str) -> Column:
-    """A year, or a text that begins with a positive word."""
-    t = F.upper(blank_to_null(c))
-    positive = reduce(lambda a, b: a | b, [t.startswith(w) for w in V.REVIEW_POSITIVE])
-    answered = F.when(t.isin(V.REVIEW_NEGATIVE), F.lit(False)).otherwise(
-        review_year(c).isNotNull() | positive
-    )
-    return F.coalesce(answered, F.lit(False))
+    """A year anywhere, or a positive word at the start.
+
+    The negative answers need no rule of their own: none of them is positive.
+    """
+    positive = r"\A\s*(?:" + "|".join(V.REVIEW_POSITIVE) + ")"
+    found = as_column(c).rlike(pattern(f"{positive}|{_YEARS}", ignore_case=True))
+    return F.coalesce(found, F.lit(False))
 
 
 def file_semester(name: Column | str) -> Column:

@@ -25,6 +25,10 @@ from sheetloom.operators.requirements import (
 
 KEY = ["name_eng", "nation"]
 SEPARATOR = ", "
+# the listing columns that are stored, directly or in derived form
+_SOURCES = [
+    c for c in V.CANONICAL_COLUMNS if c not in ("quota", "qualification", "available_semester")
+]
 ATTRIBUTES = [
     "region",
     "name_kor",
@@ -45,27 +49,30 @@ ATTRIBUTES = [
 def derive_entities(listing: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """The columns of an entity, one row per listing row."""
     present = set(listing.columns)
-    missing = {c: F.lit(None).cast("string") for c in V.CANONICAL_COLUMNS if c not in present}
-    filled = fill_region(listing.withColumns(missing), regions)
-    return filled.select(
+    values = listing.select(
+        "file",
+        "row_idx",
+        *[X.field(c if c in present else F.lit(None).cast("string")).alias(c) for c in _SOURCES],
+    )
+    return fill_region(values, regions).select(
         "file",
         "row_idx",
-        X.field("name_kor").alias("name_kor"),
-        X.field("name_eng").alias("name_eng"),
-        X.field("nation").alias("nation"),
+        "name_kor",
+        "name_eng",
+        "nation",
         "region",
-        X.field("semester").alias("semester"),
+        "semester",
         F.coalesce(X.gpa_number("min_gpa"), F.lit(0.0)).alias("min_gpa"),
-        X.field("significant_note").alias("significant_note"),
+        "significant_note",
         X.join_remarks("remark", "remark_ref").alias("remark"),
-        X.field("available_majors").alias("available_majors"),
+        "available_majors",
         X.first_url("website_url").alias("website_url"),
-        X.field("institution").alias("badge"),
+        F.col("institution").alias("badge"),
         X.is_exchange("program_type").alias("is_exchange"),
         X.is_visit("program_type").alias("is_visit"),
         X.has_review("review_raw").alias("has_review"),
         X.review_year("review_raw").alias("review_year"),
-        X.field("language_requirement").alias("language_score"),
+        F.col("language_requirement").alias("language_score"),
     )
 
 

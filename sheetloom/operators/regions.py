@@ -23,17 +23,18 @@ def fill_region(df: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     Without a table the fixed nation list is used as an expression; with one,
     an equi join that Spark broadcasts when the table is small enough.
     """
-    own = field("region", V.UNCLASSIFIED)
+    own = df.withColumn("region", field("region", V.UNCLASSIFIED))
+    open_region = F.col("region") == V.UNCLASSIFIED
     if regions is None:
-        return df.withColumn(
-            "region",
-            F.when(own == V.UNCLASSIFIED, F.coalesce(known_region(field("nation")), own)).otherwise(own),
+        known = known_region(field("nation"))
+        return own.withColumn(
+            "region", F.when(open_region, F.coalesce(known, "region")).otherwise(F.col("region"))
         )
     lookup = regions.select(
         F.col("nation").alias("_nation"), F.col("region").alias("_region")
     )
-    joined = df.join(lookup, field("nation") == F.col("_nation"), "left")
-    filled = F.when(own == V.UNCLASSIFIED, F.coalesce("_region", own)).otherwise(own)
+    joined = own.join(lookup, field("nation") == F.col("_nation"), "left")
+    filled = F.when(open_region, F.coalesce("_region", "region")).otherwise(F.col("region"))
     return joined.withColumn("region", filled).drop("_nation", "_region")
 
 

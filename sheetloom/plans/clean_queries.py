@@ -82,7 +82,7 @@ def review_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("remark_concat", f"SELECT row_idx, {C.remarks('remark', 'remark_ref')} AS remark FROM ({LISTING}) l")
 def remark_concat(spark: SparkSession, sf: str) -> DataFrame:
-    return _listing(spark, sf).select("row_idx", X.join_remarks("remark", "remark_ref").alias("remark"))
+    return _listing(spark, sf).select("row_idx", X.join_remarks(X.field("remark"), X.field("remark_ref")).alias("remark"))
 
 
 _PROGRAM = C.field("program_type", V.DEFAULT_PROGRAM)
@@ -97,8 +97,8 @@ def program_flags(spark: SparkSession, sf: str) -> DataFrame:
     return _listing(spark, sf).select(
         "row_idx",
         X.field("program_type", V.DEFAULT_PROGRAM).alias("program_type"),
-        X.is_exchange("program_type").alias("is_exchange"),
-        X.is_visit("program_type").alias("is_visit"),
+        X.is_exchange(X.field("program_type")).alias("is_exchange"),
+        X.is_visit(X.field("program_type")).alias("is_visit"),
     )
 
 
