@@ -26,10 +26,18 @@ from sheetloom.functions.text import (
 _HIT_TYPE = "array<struct<exam_type:string,raw:string,score:double>>"
 
 
-_ROW_SQL = "named_struct('exam_type', '{2}', 'score', {3}D, 'code', '{0}', 'category', '{1}')"
+def _standard_sql(code: str, category: str, exam: str, score: float) -> str:
+    """One minimum as a literal; the lowest ``rank`` is the most lenient."""
+    rank = -score if exam in V.LOWER_IS_HARDER else score
+    return (
+        f"named_struct('exam_type', '{exam}', 'rank', {rank}D, 'code', '{code}', "
+        f"'score', {score}D, 'category', '{category}')"
+    )
+
+
 _STANDARDS_SQL = "map({})".format(
     ", ".join(
-        f"'{code}', array({', '.join(_ROW_SQL.format(*row) for row in rows)})"
+        f"'{code}', array({', '.join(_standard_sql(*row) for row in rows)})"
         for code, rows in groupby(V.STANDARDS, key=lambda row: row[0])
     )
 )
@@ -155,18 +163,7 @@ def exam_evidence(rows: Column | str, hits: Column | str, excluded: Column | str
     rows, hits, excluded = as_column(rows), as_column(hits), as_column(excluded)
 
     def evidence(exam: Column) -> Column:
-        direction = F.when(exam.isin(V.LOWER_IS_HARDER), F.lit(-1.0)).otherwise(F.lit(1.0))
-        base = F.array_min(
-            F.transform(
-                F.filter(rows, lambda r: r["exam_type"] == exam),
-                lambda r: F.struct(
-                    (r["score"] * direction).alias("rank"),
-                    r["code"].alias("code"),
-                    r["score"].alias("score"),
-                    r["category"].alias("category"),
-                ),
-            )
-        )
+        base = F.array_min(F.filter(rows, lambda r: r["exam_type"] == exam))
         written = F.filter(hits, lambda h: h["exam_type"] == exam)
         return F.struct(exam.alias("exam"), base.alias("base"), written.alias("written"))
 
@@ -181,9 +178,7 @@ def english_code(rows: Column | str) -> Column:
     english = F.filter(
         as_column(rows), lambda r: (r["category"] == "ENGLISH") & (r["exam_type"] == "TOEFL")
     )
-    return F.array_min(F.transform(english, lambda r: F.struct(r["score"], r["code"].alias("code"))))[
-        "code"
-    ]
+    return F.array_min(english)["code"]
 
 
 def merge_scores(evidence: Column | str, fallback_code: Column | str) -> Column:
@@ -226,11 +221,13 @@ def note_exclusions(note: Column | str) -> Column:
     n = F.upper(as_column(note))
     for old, new in V.NOTE_REWRITES:
         n = F.replace(n, F.lit(old), F.lit(new))
-    word = "(?:" + "|".join(V.NOTE_EXCLUSION_WORDS) + ")"
-    before = r"(.{%d}|\A.{0,%d})" % (V.NOTE_WINDOW, V.NOTE_WINDOW - 1)
+    # In the reversed note the window is what follows the word, which a
+    # look-ahead captures in one pass; windows may overlap.
+    words = "|".join(word[::-1] for word in V.NOTE_EXCLUSION_WORDS)
+    following = f"(?s)(?:{words})(?=(.{{0,{V.NOTE_WINDOW}}}))"
     windows = F.when(
         contains_any(as_column(note), V.NOTE_EXCLUSION_WORDS),
-        F.regexp_extract_all(n, F.lit("(?s)" + word + "(?<=" + before + word + ")"), F.lit(1)),
+        F.regexp_extract_all(F.reverse(n), F.lit(following), F.lit(1)),
     )
     exams = [exam for exam, _ in V.EXAM_GROUPS]
     stop = "."
@@ -245,7 +242,7 @@ def note_exclusions(note: Column | str) -> Column:
         )
 
     def meanings(window: Column) -> Column:
-        tokens = F.reverse(F.split(window, r"(?U)[,/\s\x1c-\x1f()\[\]]+"))
+        tokens = F.reverse(F.split(F.reverse(window), r"(?U)[,/\s\x1c-\x1f()\[\]]+"))
         return F.transform(tokens, meaning)
 
     def until_stop(found: Column) -> Column:
