@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, difference
+from sheetloom.plans import load_registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+REGISTRY = load_registry()
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY.RUNS))
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert difference(df, con, entry_points.oracle_sql()[name]) is None
@@ -26,4 +30,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REGISTRY.RUNS) == set(REGISTRY.CHECKS)
+    assert set(REGISTRY.RUNS) <= set(entry_points.queries())
