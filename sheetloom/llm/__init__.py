@@ -1,0 +1,8 @@
+"""Operators that prepare training data, their queries and their checking SQL."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions travel to the executors by value: workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
