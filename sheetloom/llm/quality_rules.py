@@ -12,39 +12,39 @@ from sheetloom.sources.staging import stage
 MAX_SYMBOLS, MAX_DUP_LINES = 0.1, 0.5
 
 
-def _repeated_positions(keyed: str, bits: str, full: str) -> Column:
-    """Positions (unsorted) of windows whose hash occurs twice.
+#: Up to so many windows a text's positions ride in the low 14 bits of their hashes.
+PACKED, BITS = 1 << 14, 14
 
-    ``keyed`` is sorted and holds the hash's high bits and, in the lowest ``bits``,
-    the position.  Equal windows are neighbours.
-    """
-    k, b, h = F.col(keyed), F.col(bits), F.col(full)
-    mask = F.expr(f"shiftleft(1L, {bits}) - 1L")
 
-    def place(v: Column) -> Column:
-        return v.bitwiseAND(mask).cast("int")
+def _repeated_positions() -> Column:
+    """Sorted positions of windows whose hash ``h`` occurs twice in the row.
+
+    Equal hashes are neighbours once sorted.  Longs sort fastest, so short texts
+    sort the high 50 bits of the hash with the position below them; longer ones
+    sort pairs of whole hash and position.
+    """
+    packed, pairs = F.col("packed"), F.col("pairs")
 
-    def same(v: Column, other: Column) -> Column:
-        return F.coalesce(F.call_function("shiftright", v, b) == F.call_function("shiftright", other, b), F.lit(False))
+    def high(v: Column) -> Column:
+        return F.shiftright(v, BITS)
 
-    found = F.filter(k, lambda v, i: same(v, F.get(k, i - 1)) | same(v, F.get(k, i + 1)))
-    # Hashes that agree in their high bits only (very long texts): sort whole hashes.
-    clash = F.exists(
-        F.sequence(F.lit(1), F.size(k) - 1),
-        lambda i: same(F.get(k, i), F.get(k, i - 1)) & (F.get(h, place(F.get(k, i))) != F.get(h, place(F.get(k, i - 1)))),
+    short = F.transform(
+        F.filter(
+            packed,
+            lambda v, i: F.coalesce(high(v) == high(F.get(packed, i - 1)), F.lit(False))
+            | F.coalesce(high(v) == high(F.get(packed, i + 1)), F.lit(False)),
+        ),
+        lambda v: v.bitwiseAND(F.lit(PACKED - 1)),
     )
-    pairs = F.col("pairs")
-    whole = F.transform(
+    long = F.transform(
         F.filter(
-            F.sequence(F.lit(0), F.size(h) - 1),
-            lambda i: F.coalesce(F.get(pairs, i)["h"] == F.get(pairs, i - 1)["h"], F.lit(False))
-            | F.coalesce(F.get(pairs, i)["h"] == F.get(pairs, i + 1)["h"], F.lit(False)),
+            pairs,
+            lambda v, i: F.coalesce(v["h"] == F.get(pairs, i - 1)["h"], F.lit(False))
+            | F.coalesce(v["h"] == F.get(pairs, i + 1)["h"], F.lit(False)),
         ),
-        lambda i: F.get(pairs, i)["i"].cast("long"),
+        lambda v: v["i"].cast("long"),
     )
-    return F.when(F.size(k) < 2, F.array().cast("array<bigint>")).when(
-        ~F.col("clash"), F.transform(found, lambda v: v.bitwiseAND(mask))
-    ).otherwise(whole), clash
+    return F.sort_array(F.when(packed.isNotNull(), short).otherwise(long))
 
 
 def document_features(
@@ -54,9 +54,8 @@ def document_features(
 
     With ``with_rows`` also ``row``, the whole input row as a struct.
 
-    Everything is computed within the row.  Three-word windows are hashed to 64
-    bits; positions ride in the low bits of the hash, so that one sort of longs
-    brings equal windows together, however long the text.
+    Everything is computed within the row: three-word windows are hashed, and one
+    sort brings equal ones together, however long the text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split("text", "\n", -1), lambda line: F.length(F.btrim(line, F.lit(SPACE_CHARS))) > 0)
@@ -86,15 +85,21 @@ def document_features(
         .withColumn("n_words", F.size("words").cast("long"))
         .withColumn("h", windows)
         .drop("lines", "words")
-        .withColumn("bits", F.ceil(F.log2(F.size("h") + 2)).cast("int"))
         .withColumn(
-            "keyed",
-            F.sort_array(
-                F.transform("h", lambda v, i: F.call_function("shiftleft", v, F.col("bits")).bitwiseOR(i.cast("long")))
+            "packed",
+            F.when(
+                F.size("h") <= PACKED,
+                F.sort_array(F.transform("h", lambda v, i: F.shiftleft(v, BITS).bitwiseOR(i.cast("long")))),
+            ),
+        )
+        .withColumn(
+            "pairs",
+            F.when(
+                F.size("h") > PACKED,
+                F.sort_array(F.transform("h", lambda v, i: F.struct(v.alias("h"), i.alias("i")))),
             ),
         )
     )
-    positions, clash = _repeated_positions("keyed", "bits", "h")
     p = F.col("repeated")
     covered = F.aggregate(
         F.transform(p, lambda v, j: F.least(F.lit(3), F.coalesce(F.get(p, j + 1) - v, F.lit(3))).cast("long")),
@@ -102,12 +107,7 @@ def document_features(
         lambda total, n: total + n,
     )
     return (
-        base.withColumn("clash", F.coalesce(F.when(F.size("keyed") >= 2, clash), F.lit(False)))
-        .withColumn(
-            "pairs",
-            F.when(F.col("clash"), F.sort_array(F.transform("h", lambda v, i: F.struct(v.alias("h"), i.alias("i"))))),
-        )
-        .withColumn("repeated", F.sort_array(positions))
+        base.withColumn("repeated", _repeated_positions())
         .select("id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"), *rows)
     )
 
