@@ -15,6 +15,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality rules", stages.quality_rules),
     ("SimHash near-dedup", stages.simhash_dedup),
     ("mixing sources to target weights", stages.mixing),
+    ("token-ID / binary output", stages.token_output),
 ]
 
 #: Fingerprints, the latent space and tokenization have no SQL; tests hold the

@@ -7,16 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import line_dedup, mixing, quality_rules, simhash
-from sheetloom.llm.common import read
+from sheetloom.llm import chat, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
+from sheetloom.llm.common import crc_mod, read
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labels of rows that aren't held out; every fifth row by crc32 is."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = toxicity.train_toxicity(docs, labels.filter(~held_out))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like marks of the template."""
+    text = r"\### Assistant: </turn> ok"
+    tables = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat.conversation_digests(chat.format_turns(tables.unionByName(marks)))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -27,6 +45,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from rows that aren't held out; every third row by crc32 is."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = language.train_languages(docs.filter(~held_out))
+    return language.detect_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_training_order(read(spark, sf_dir, "documents"), token_shards.new_folder(spark))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -35,15 +65,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_quality_rules,
+        op3_chat,
         op5_simhash,
         op7_mixing,
+        op8_language,
+        op9_token_shards,
         op10_line_dedup,
     )
 }
 
 CHECKS: dict[str, str] = {
     "op2_quality_rules": quality_rules.CHECK,
+    "op3_chat": chat.CHECK,
     "op7_mixing": mixing.CHECK,
     "op10_line_dedup": line_dedup.CHECK,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import mixing as mix
 from sheetloom.llm import quality_rules as rules
-from sheetloom.llm import simhash
+from sheetloom.llm import simhash, token_shards
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,3 +22,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as often as the mix takes it."""
     return mix.sample_mix(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The manifest of the shards: a row per sequence, with its place and documents."""
+    return token_shards.write_training_order(docs, token_shards.new_folder(spark))
