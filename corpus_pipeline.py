@@ -14,6 +14,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", stages.quality_rules),
     ("SimHash near-dedup", stages.simhash_dedup),
+    ("benchmark decontamination", stages.decontamination),
     ("mixing sources to target weights", stages.mixing),
     ("token-ID / binary output", stages.token_output),
 ]

@@ -7,22 +7,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
 
 from sheetloom.llm.ngrams import blocks
 from sheetloom.llm.sums import SCHEMA, add_up, packed
 from sheetloom.llm.wordhash import fold, fold_table, word_hashes
+from sheetloom.sources.staging import stage
 
 #: A benchmark passage has at most so many words; documents are read in windows of
 #: twice as many, at every such step, so that each stretch of that length lies whole
 #: within a window.
 PASSAGE = 40
 #: Latent dimensions, dimensions of the random sketch, passes over the matrix.
-RANK, SKETCH, PASSES = 64, 80, 3
+RANK, SKETCH, PASSES = 192, 224, 4
 #: Least cosine of a candidate.
-COSINE = 0.25
+COSINE = 0.5
 #: A passage is found where this share of its words lies in a window in order ...
 LCS = 0.6
 #: ... or this share (a paraphrase) along with the answer: the item's last words.
@@ -90,22 +92,63 @@ class Terms:
         return out
 
 
-def document_frequencies(docs: DataFrame, terms: Terms, text_col: str) -> tuple[float, np.ndarray]:
-    """Number of documents, and of documents with each dimension, over all documents."""
+def _stepped(dims: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of PASSAGE dimensions, each text's last one filled up with -1, and each text's number of rows (one at least)."""
+    n = np.diff(at)
+    steps = np.maximum(-(-n // PASSAGE), 1)
+    out = np.full(steps.sum() * PASSAGE, -1, np.int32)
+    shift = np.concatenate([[0], np.cumsum(steps[:-1] * PASSAGE)]) - at[:-1]
+    out[np.arange(len(dims)) + np.repeat(shift, n)] = dims
+    return out.reshape(-1, PASSAGE), steps
+
+
+def term_table(docs: DataFrame, terms: Terms, text_col: str, kept: list) -> DataFrame:
+    """Whole texts as dimensions, the only form in which they are read again: ``kept`` columns and ``dims``."""
+    rows = docs.select(*kept, F.col(text_col).alias("text"))
+    fields = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars, n, total = fold_table(), 0, np.zeros(terms.size)
+        chars, pack = fold_table(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for first, end, codes, starts in blocks(batch["text"]):
+            out = []
+            for _, _, codes, starts in blocks(batch["text"]):
                 h, at = word_hashes(fold(codes, chars), starts)
-                dims = terms.dimensions(h)
-                doc = np.repeat(np.arange(end - first), np.diff(at))
-                once = np.unique((doc * terms.size + dims)[dims >= 0])
-                total += np.bincount(once % terms.size, minlength=terms.size)
-                n += end - first
+                rows, steps = _stepped(terms.dimensions(h), at)
+                ends = np.cumsum(steps)
+                out += [pack.compress(rows[e - n : e].tobytes()) for n, e in zip(steps, ends)]
+            columns = [batch[f.name] for f in fields]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=[*(f.name for f in fields), "dims"])
+
+    return stage(rows.mapInArrow(run, StructType([*fields, StructField("dims", BinaryType())])), "terms")
+
+
+def _read(column: pa.Array, rows: int = 1 << 14) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of texts as rows of dimensions: first text, rows, each text's number of rows."""
+    unpack = zstandard.ZstdDecompressor()
+    first, held, size = 0, [], 0
+    for i, text in enumerate(column):
+        held.append(np.frombuffer(unpack.decompress(text.as_py()), np.int32).reshape(-1, PASSAGE))
+        size += len(held[-1])
+        if size >= rows or i == len(column) - 1:
+            yield first, np.concatenate(held), np.array([len(x) for x in held])
+            first, held, size = i + 1, [], 0
+
+
+def passage_frequencies(table: DataFrame, terms: Terms) -> tuple[float, np.ndarray]:
+    """Number of passages of all documents, and of those with each dimension."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, np.zeros(terms.size)
+        for batch in batches:
+            for _, rows, _ in _read(batch["dims"]):
+                rows = np.sort(rows, axis=1)
+                new = rows >= 0
+                new[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+                total += np.bincount(rows[new], minlength=terms.size)
+                n += len(rows)
         yield packed({"n": np.array([n]), "df": total})
 
-    sums = add_up(docs.select(F.col(text_col).alias("text")).mapInArrow(run, SCHEMA))
+    sums = add_up(table.select("dims").mapInArrow(run, SCHEMA))
     return float(sums["n"][0]), sums["df"]
 
 
@@ -145,7 +188,7 @@ class Passages:
     """What one pass looks for."""
 
     items: list
-    words: list[np.ndarray]
+    words: list[np.ndarray]  # as dimensions
     answers: list[np.ndarray]
     latent: np.ndarray
     weight: np.ndarray
@@ -153,49 +196,31 @@ class Passages:
 
 @dataclass
 class BenchmarkModel:
-    terms: Terms
     idf: np.ndarray
     space: np.ndarray
     blocks: list[Passages]
 
 
-def _project(dims: list[np.ndarray], space: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit latent vectors of bags of dimensions."""
-    size = np.array([len(d) for d in dims])
-    out = np.zeros((len(dims), space.shape[1]), np.float32)
-    full = np.flatnonzero(size)
-    if len(full):
-        flat = np.concatenate([dims[i] for i in full])
-        starts = np.concatenate([[0], np.cumsum(size[full])[:-1]])
-        out[full] = np.add.reduceat(space[flat] * idf[flat, None].astype(np.float32), starts, 0)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def fit_benchmark(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text"
-) -> BenchmarkModel:
-    """Passages, weights (from all documents) and latent space of a benchmark.
+def fit_benchmark(items: list, table: DataFrame, terms: Terms, passages_df: DataFrame) -> BenchmarkModel:
+    """Weights (from all documents), latent space and passages of a benchmark.
 
     The benchmark is the query set: its passages go to every task, in blocks of
     bounded size.
     """
-    items = _item_passages(benchmark, item_col, item_text)
-    found = items.collect()
-    words = [np.array(r["words"], np.int64).view(np.uint64) for r in found]
-    answers = [np.array(r["answer"], np.int64).view(np.uint64) for r in found]
-    terms = Terms(np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64))
-    if not words:
-        return BenchmarkModel(terms, np.zeros(0), np.zeros((0, 0), np.float32), [])
-    n, df = document_frequencies(docs, terms, text_col)
+    n, df = passage_frequencies(table, terms)
     idf = np.log((n + 1) / (df + 1)) + 0.01
-    space = latent_space(items, terms, idf)
-    dims = [terms.dimensions(w) for w in words]
-    latent = _project(dims, space, idf)
+    space = latent_space(passages_df, terms, idf) * idf[:, None].astype(np.float32)
+    dims = [terms.dimensions(np.array(r["words"], np.int64).view(np.uint64)) for r in items]
+    answers = [terms.dimensions(np.array(r["answer"], np.int64).view(np.uint64)) for r in items]
+    latent = _unit(np.array([space[d].sum(0) for d in dims]))
     weight = np.array([idf[d].sum() for d in dims])
-    ids = [r["id"] for r in found]
-    parts = range(0, len(ids), BLOCK)
-    cut = [slice(i, i + BLOCK) for i in parts]
-    return BenchmarkModel(terms, idf, space, [Passages(ids[c], words[c], answers[c], latent[c], weight[c]) for c in cut])
+    ids = [r["id"] for r in items]
+    cut = [slice(i, i + BLOCK) for i in range(0, len(ids), BLOCK)]
+    return BenchmarkModel(idf, space, [Passages(ids[c], dims[c], answers[c], latent[c], weight[c]) for c in cut])
 
 
 def lcs_length(masks: dict[int, int], size: int, window: list[int]) -> int:
@@ -218,45 +243,45 @@ def _masks(words: list[int]) -> dict[int, int]:
 
 class _Search:
     def __init__(self, model: BenchmarkModel, block: Passages) -> None:
-        self.model, self.block, self.chars = model, block, fold_table()
+        self.block = block
+        # The row that -1 finds is zero.
+        self.space = np.concatenate([model.space, np.zeros((1, model.space.shape[1]), np.float32)])
+        self.latent = np.ascontiguousarray(block.latent.T)
         self.words = [w.tolist() for w in block.words]
         self.masks = [_masks(w) for w in self.words]
         self.answers = [(_masks(w.tolist()), len(w)) for w in block.answers]
-        idf, terms = model.idf, model.terms
-        self.bags = [dict(zip(w, idf[terms.dimensions(np.array(w, np.uint64))])) for w in self.words]
+        self.bags = [dict(zip(w, model.idf[w].tolist())) for w in self.words]
+        self.least = [WEIGHT * w for w in block.weight.tolist()]
 
     def find(self, column: pa.Array) -> list[list[tuple]]:
         """For each text the items in it, with the share of words in order."""
         out: list[list[tuple]] = [[] for _ in range(len(column))]
-        model, block = self.model, self.block
-        least = WEIGHT * block.weight.min()
-        for first, end, codes, starts in blocks(column):
-            h, at = word_hashes(fold(codes, self.chars), starts)
-            dims = model.terms.dimensions(h)
-            weight = np.concatenate([[0], np.cumsum(np.where(dims >= 0, model.idf[dims], 0))])
-            # Every text's windows: steps of PASSAGE while words are left, one at least.
-            n = np.diff(at)
-            count = np.maximum(-(-(n - PASSAGE) // PASSAGE), 1)
-            doc = np.repeat(np.arange(end - first), count)
-            step = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            lo = at[doc] + step * PASSAGE
-            hi = np.minimum(lo + 2 * PASSAGE, at[doc + 1])
-            heavy = np.flatnonzero(weight[hi] - weight[lo] >= least - 1e-9)
-            for i in range(0, len(heavy), 4096):
-                part = heavy[i : i + 4096]
-                bags = [d[d >= 0] for d in (dims[lo[j] : hi[j]] for j in part)]
-                near = _project(bags, model.space, model.idf) @ block.latent.T >= COSINE
-                for a, p in zip(*np.nonzero(near)):
-                    j = part[a]
-                    share = self.share(h[lo[j] : hi[j]].tolist(), p)
+        for first, rows, steps in _read(column):
+            latent = np.empty((len(rows), self.space.shape[1]), np.float32)
+            for i in range(0, len(rows), 64):
+                part = rows[i : i + 64]
+                latent[i : i + 64] = self.space[part.ravel()].reshape(len(part), PASSAGE, -1).sum(1)
+            # A window is a row and, unless it is the text's last, the next; one window for a single row.
+            doc = np.repeat(np.arange(len(steps)), steps)
+            last = np.append(doc[1:] != doc[:-1], True)
+            window = np.flatnonzero(~last | (steps[doc] == 1))
+            sums = latent[window]
+            double = ~last[window]
+            sums[double] += latent[window[double] + 1]
+            sums = _unit(sums)
+            for i in range(0, len(window), 2048):
+                for a, p in zip(*np.nonzero(sums[i : i + 2048] @ self.latent >= COSINE)):
+                    at = window[i + a]
+                    share = self.share(rows[at : at + 1 + double[i + a]].ravel().tolist(), p)
                     if share:
-                        out[first + doc[j]].append((block.items[p], share))
+                        out[first + doc[at]].append((self.block.items[p], share))
         return out
 
     def share(self, window: list[int], p: int) -> float:
         """Share of the passage's words that the window has in order, zero if it isn't found."""
         words, there = self.words[p], set(window)
-        if sum(self.bags[p][w] for w in words if w in there) < WEIGHT * self.block.weight[p]:
+        bag = self.bags[p]
+        if sum([bag[w] for w in words if w in there]) < self.least[p]:
             return 0.0
         if len(words) < SHORT:
             runs = (window[i : i + len(words)] == words for i in range(len(window) - len(words) + 1))
@@ -273,7 +298,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     also ``row``, the whole input row as a struct.
 
     Benchmark items are cut into passages and documents read in overlapping windows,
-    whole.  Weights are inverse document frequencies over all documents; a randomised
+    whole.  Weights are inverse frequencies among all documents' passages; a randomised
     SVD of the passages' TF-IDF matrix gives a latent space; windows and passages whose
     cosine in it is large enough are candidates.  A candidate counts if the passage's
     words lie in the window in order for the most part, or to a lesser part along with
@@ -284,21 +309,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     looked for; a null item id is found like any other.  Repeated rows get equal
     results; extra columns are ignored; an empty benchmark finds nothing.
     """
-    model = fit_benchmark(docs, benchmark, text_col, item_col)
     item_type = benchmark.schema[item_col].dataType
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-        F.array().cast(ArrayType(_hit(item_type))).alias("hits"),
-        *([F.struct(*docs.columns).alias("row")] if with_rows else []),
-    )
-    for block in model.blocks:
-        rows = rows.mapInArrow(_searcher(model, block), rows.schema)
-    items = F.transform("hits", lambda x: x["item"])
+    queries = _item_passages(benchmark, item_col, "text")
+    items = queries.collect()
+    words = np.array([w for r in items for w in r["words"]], np.int64).view(np.uint64)
+    terms = Terms(np.unique(words))
+    kept = [F.col(id_col).alias("id"), F.array().cast(ArrayType(_hit(item_type))).alias("hits")]
+    kept += [F.struct(*docs.columns).alias("row")] if with_rows else []
+    if items:
+        rows = term_table(docs, terms, text_col, kept)
+        model = fit_benchmark(items, rows, terms, queries)
+        for block in model.blocks:
+            rows = rows.mapInArrow(_searcher(model, block), rows.schema)
+    else:
+        rows = docs.select(*kept)
+    found = F.transform("hits", lambda x: x["item"])
     return rows.select(
         F.col("id").alias(id_col),
         (F.size("hits") > 0).alias("contaminated"),
-        F.array_sort(F.array_distinct(items)).alias("item_ids"),
+        F.array_sort(F.array_distinct(found)).alias("item_ids"),
         F.coalesce(F.array_max(F.transform("hits", lambda x: x["share"])), F.lit(0.0)).alias("score"),
         *(["row"] if with_rows else []),
     )
@@ -312,7 +341,7 @@ def _searcher(model: BenchmarkModel, block: Passages):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = _Search(model, block)
         for batch in batches:
-            found = search.find(batch["text"])
+            found = search.find(batch["dims"])
             at = batch.schema.get_field_index("hits")
             old = batch["hits"].to_pylist()
             hits = [o + [{"item": i, "share": s} for i, s in f] for o, f in zip(old, found)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import chat, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
+from sheetloom.llm import chat, decontaminate, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
 from sheetloom.llm.common import crc_mod, read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -69,6 +73,7 @@ QUERIES: dict[str, Run] = {
         op2_quality_rules,
         op3_chat,
         op5_simhash,
+        op6_decontamination,
         op7_mixing,
         op8_language,
         op9_token_shards,
