@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import chat, decontaminate, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
+from sheetloom.llm import chat, decontaminate, html_extract, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
 from sheetloom.llm.common import crc_mod, read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_turns(tables.unionByName(marks)))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_main_text(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Run] = {
         op1_toxicity,
         op2_quality_rules,
         op3_chat,
+        op4_html_extraction,
         op5_simhash,
         op6_decontamination,
         op7_mixing,
