@@ -89,15 +89,15 @@ def mix_documents(
     rows = stage(base, "sizes")
     sizes = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"),
-        (F.sum(F.col("size") * F.col("affinity")) / F.sum("size")).alias("mean_affinity"),
+        F.try_divide(F.sum(F.col("size") * F.col("affinity")), F.sum("size")).alias("mean_affinity"),
     )
     targets = source_targets(sizes.select("source", "source_size"), weights, max_copies)
     named = stage(
         targets.join(sizes.withColumnRenamed("source", "own").drop("source_size"), F.col("source").eqNullSafe(F.col("own"))).drop("own"),
         "targets",
     ).withColumnRenamed("source", "of")
-    ratio = F.coalesce(F.col("target") / F.col("source_size"), F.lit(0.0))
-    share = F.coalesce(F.col("affinity") / F.col("mean_affinity"), F.lit(1.0))
+    ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    share = F.coalesce(F.try_divide("affinity", "mean_affinity"), F.lit(1.0))
     odds = F.col("u") * (1 - F.col("p"))
     planned = (
         rows.join(named, F.col("source").eqNullSafe(F.col("of")))

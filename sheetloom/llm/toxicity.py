@@ -113,7 +113,8 @@ def train_toxicity(
         return nothing
     dice = F.pmod(F.xxhash64("label_id", F.lit("toxicity")), F.lit(1_000_000)) / 1_000_000
     picked = stage(one.filter(dice < F.when(F.col("label") == 1, rows_per_class / n1).otherwise(rows_per_class / n0)), "labels")
-    texts = docs.join(F.broadcast(picked), F.col(id_col) == F.col("label_id")).select("label", letters(text_col, digits=True).alias("text"))
+    texts = docs.select(F.col(id_col).alias("text_id"), letters(text_col, digits=True).alias("text"))
+    texts = texts.join(F.broadcast(picked), F.col("text_id") == F.col("label_id")).select("label", "text")
     rows = stage(texts.mapInArrow(_features, "label int, buckets array<int>"), "toxic_features")
     m = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     m0, m1 = m.get(0, 0), m.get(1, 0)
