@@ -131,9 +131,18 @@ def has_review(c: Column | str) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+#: Stands between the name of a file and its folder where ``file`` holds both.
+FOLDER_MARK = "\t"
+
+
+def base_name(file: Column | str) -> Column:
+    """The name of a file without its folder."""
+    return F.substring_index(as_column(file), FOLDER_MARK, 1)
+
+
 def file_semester(name: Column | str) -> Column:
     """``YYYY-T`` at the start of a file name, else anywhere in it."""
-    name = as_column(name)
+    name = base_name(name)
 
     def found(regex: str) -> Column:
         year, term = extract_or_null(name, regex, 1), extract_or_null(name, regex, 2)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetloom import vocabulary as V
-from sheetloom.functions.fields import file_semester
+from sheetloom.functions.fields import base_name, file_semester
 from sheetloom.functions.text import contains_any, strip
 
 # Rows of one file are worked on in blocks of this many, so that a file with a
@@ -114,11 +114,12 @@ def header_map(
 
 
 def grid_to_table(
-    grid: DataFrame, mapped: DataFrame, columns: list[str] = V.CANONICAL_COLUMNS
+    grid: DataFrame, mapped: DataFrame, columns: list[str] = V.CANONICAL_COLUMNS, others: bool = False
 ) -> DataFrame:
     """One row per body row, one string column per canonical name.
 
     Columns a file does not have are null, and ``present`` lists those it has.
+    With ``others`` the values of all remaining columns are kept by column number.
     The grid is shuffled once, by file and row block; assembling the rows
     groups within that partitioning.
     """
@@ -136,6 +137,7 @@ def grid_to_table(
         F.explode(F.sequence(F.lit(0).cast("long"), row_block("last_row"))).alias("block"),
     )
     target = F.try_element_at(F.col("layout"), F.col("col_idx"))
+    left_over = F.when(F.col("target").isNull(), F.struct("col_idx", "value"))
     cells = (
         grid.withColumn("block", row_block("row_idx"))
         .join(layout, ["file", "block"])
@@ -147,6 +149,7 @@ def grid_to_table(
         .agg(
             *[F.max(F.when(F.col("target") == c, F.col("value"))).alias(c) for c in columns],
             F.first(F.map_values("layout")).alias("present"),
+            *([F.collect_list(left_over).alias("others")] if others else []),
         )
         .drop("block")
     )
@@ -160,7 +163,7 @@ def inject_metadata(listing: DataFrame) -> DataFrame:
     own = F.array_contains("present", "semester")
     return listing.withColumns(
         {
-            "filename": F.col("file"),
+            "filename": base_name("file"),
             "semester": F.when(own, F.col("semester")).otherwise(file_semester("file")),
             "recruitment_round": F.lit(V.UNKNOWN),
         }

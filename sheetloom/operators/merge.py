@@ -44,6 +44,9 @@ ATTRIBUTES = [
     "review_year",
     "language_score",
 ]
+#: What a state keeps of the latest row: the stored attributes, and the nation by
+#: which its region was looked up in a reference file.
+KEPT = [*ATTRIBUTES, "region_key"]
 
 
 def derive_entities(listing: DataFrame, regions: DataFrame | None = None) -> DataFrame:
@@ -53,6 +56,7 @@ def derive_entities(listing: DataFrame, regions: DataFrame | None = None) -> Dat
         "file",
         "row_idx",
         *[X.field(c if c in present else F.lit(None).cast("string")).alias(c) for c in _SOURCES],
+        *[c for c in ["region_key"] if c in present],
     )
     return fill_region(values, regions).select(
         "file",
@@ -73,6 +77,7 @@ def derive_entities(listing: DataFrame, regions: DataFrame | None = None) -> Dat
         X.has_review("review_raw").alias("has_review"),
         X.review_year("review_raw").alias("review_year"),
         F.col("language_requirement").alias("language_score"),
+        *[c for c in ["region_key"] if c in present],
     )
 
 
@@ -92,21 +97,26 @@ def collapse(entities: DataFrame) -> DataFrame:
     The latest row wins with all its attributes, nulls included.
     """
     position = F.struct("file", "row_idx")
+    kept = [c for c in KEPT if c in entities.columns]
     return entities.groupBy(*KEY).agg(
         F.min(position).alias("first_seen"),
         F.max(position).alias("last_seen"),
-        F.max_by(F.struct(*ATTRIBUTES), position).alias("latest"),
+        F.max_by(F.struct(*kept), position).alias("latest"),
         F.collect_set("semester").alias("semesters"),
     )
 
 
 def combine(states: DataFrame) -> DataFrame:
-    """The same merge over state records, for example of several batches."""
+    """The same merge over state records, for example of several batches.
+
+    Of a file that arrived again with the same rows, the later ``batch`` holds.
+    """
+    latest = F.struct("last_seen", "batch") if "batch" in states.columns else F.col("last_seen")
     extra = [c for c in states.columns if c in ("id",)]
     return states.groupBy(*KEY).agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
-        F.max_by("latest", "last_seen").alias("latest"),
+        F.max_by("latest", latest).alias("latest"),
         F.array_distinct(F.flatten(F.collect_set("semesters"))).alias("semesters"),
         *[F.min(c).alias(c) for c in extra],
     )
@@ -143,14 +153,14 @@ def assign_ids(states: DataFrame, start: int = 0) -> DataFrame:
     return sequence_ids(states, ["first_seen.file", "first_seen.row_idx"], "id", start)
 
 
-def university_table(states: DataFrame) -> DataFrame:
+def university_table(states: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The entity table; entities without any semester are rejected."""
     return states.select(
         "id",
         semester_list("semesters").alias("semester"),
         "nation",
         "name_eng",
-        "latest.*",
+        *[f"latest.{c}" for c in (*ATTRIBUTES, *keep)],
     ).filter(F.col("semester").isNotNull())
 
 

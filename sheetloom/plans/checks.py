@@ -86,12 +86,37 @@ def region_fill(region: str, mapped: str) -> str:
     return f"CASE WHEN {own} = '{V.UNCLASSIFIED}' THEN coalesce({mapped}, {own}) ELSE {own} END"
 
 
+# The checking side's own patterns of written scores, in the order of their precedence.
+_GAP = r"[\t\n\f\r ]*"
+_DIGITS, _GROUPED, _DECIMAL = "([0-9]+)", "([0-9,]+)", r"([0-9]+[.]?[0-9]*)"
+SCORES = [
+    ("TOEFL", None, f"toefl{_GAP}(?:[(]ibt[)]|ibt)?{_GAP}{_DIGITS}"),
+    ("TOEFL_ITP", None, f"toefl{_GAP}(?:itp|pbt){_GAP}{_DIGITS}"),
+    ("TOEFL", None, f"토플{_GAP}(?:ibt)?{_GAP}{_DIGITS}"),
+    ("TOEIC", None, f"toeic{_GAP}{_GROUPED}"),
+    ("TOEIC", None, f"토익{_GAP}{_GROUPED}"),
+    ("IELTS", None, f"(?:ielts|itelts|iets){_GAP}{_DECIMAL}"),
+    ("IELTS", None, f"아이엘츠{_GAP}{_DECIMAL}"),
+    ("DUOLINGO", None, f"duolingo{_GAP}{_DIGITS}"),
+    ("HSK", None, f"hsk{_GAP}{_DIGITS}"),
+    ("HSK", None, f"hsk{_GAP}{_DIGITS}"),
+    ("JLPT", None, f"jlpt{_GAP}n{_DIGITS}"),
+    ("JPT", None, f"jpt{_GAP}{_GROUPED}"),
+    ("DELF", "general", f"delf{_GAP}[abce][0-9]?"),
+    ("ZD", "general", f"zd{_GAP}[abce][0-9]?"),
+    ("DELE", "dele", f"dele{_GAP}[a-c][12]"),
+    ("CELI", "italian", f"celi{_GAP}[a-c][12]"),
+    ("CILS", "italian", f"cils{_GAP}[a-c][12]"),
+    ("TOPIK", None, f"topik{_GAP}{_DIGITS}"),
+]
+
+
 def requirement_ctes(source: str, bounded: bool = False, prefix: str = "") -> str:
     """CTEs from ``source(id, text, region)``; the last one is ``req``."""
     p = prefix
     na = rf"(?i)(^|{WORD})N/?A($|{WORD})" if bounded else "(?i)N/?A"
     rules = []
-    for i, (exam, scale, _, regex) in enumerate(V.SCORE_RULES):
+    for i, (exam, scale, regex) in enumerate(SCORES):
         group = 1 if scale is None else 0
         if scale is None:
             raw, score = "m", "TRY_CAST(replace(m, ',', '') AS DOUBLE)"

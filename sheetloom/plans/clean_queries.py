@@ -115,13 +115,13 @@ def summary_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "summary_filter_nan",
-    f"""SELECT doc_id AS id, left(text, 40) AS name_kor FROM documents
+    f"""SELECT doc_id AS id, text AS name_kor FROM documents
         WHERE NOT regexp_matches(text, '(?i)합계|소계|총계|nan')""",
 )
 def summary_filter_nan(spark: SparkSession, sf: str) -> DataFrame:
     texts = read_table(spark, sf, "documents").withColumnRenamed("text", "name_kor")
     kept = K.drop_summary_rows(texts, nan_rule=True)
-    return kept.select(F.col("doc_id").alias("id"), F.left("name_kor", F.lit(40)).alias("name_kor"))
+    return kept.select(F.col("doc_id").alias("id"), "name_kor")
 
 
 @query("required_keys", f"SELECT row_idx, file FROM ({LISTING}) l WHERE {KEYS_SQL}")

@@ -4,30 +4,35 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheetloom import vocabulary as V
+from sheetloom.functions.fields import collapse_whitespace
 from sheetloom.operators import grid as G
 from sheetloom.operators import merge as M
 from sheetloom.operators.clean import clean, clean_values, drop_empty_rows, drop_summary_rows, forward_fill
 from sheetloom.operators.regions import backfill_region, is_reference_file, reference_regions
 from sheetloom.session import run_dir
-from sheetloom.sources.sinks import write_tables
+from sheetloom.sources.sinks import csv_line, write_tables
 from sheetloom.sources.staging import stage
 from sheetloom.sources.workbook import read_workbooks, stream_workbooks
-from sheetloom.streaming.incremental import CatalogueStore, start_incremental
+from sheetloom.streaming.incremental import CatalogueStore, start_merging
 
 
 @dataclass
 class Ingested:
-    """Lazy results of one run; nothing is loaded until they are written."""
+    """Results of one run; nothing is loaded until they are written.
+
+    Steps that several results share are staged while the run is set up.
+    """
 
     extracted: DataFrame
     cleaned: DataFrame
     entities: DataFrame
     bad_files: DataFrame
+    reference: DataFrame
 
 
 def stage_grid(grid: DataFrame) -> DataFrame:
@@ -35,50 +40,70 @@ def stage_grid(grid: DataFrame) -> DataFrame:
     return stage(grid.withColumn("top", F.col("row_idx") < G.HEADER_SEARCH_ROWS), "grid", "top")
 
 
-def assemble(grid: DataFrame) -> DataFrame:
-    """S6-S10 and J2.
+@dataclass
+class Layout:
+    """What is known of the files before their rows are put together; small and staged."""
+
+    mapped: DataFrame
+    reference: DataFrame
+    bad: DataFrame | None
+
 
-    The header map and the region lookup are written first: both are small, and
-    the joins with the rows are planned by their real size.
+def read_layout(grid: DataFrame, bad: DataFrame | None = None) -> Layout:
+    """Header map of all files but ``bad`` ones, and the rows of the reference file.
+
+    Both are small; being written first, the joins with the rows are planned by
+    their real size.  A file that isn't in the header map takes no part in anything.
     """
-    mapped = stage(G.header_map(grid, G.header_rows(grid)), "headers")
-    wanted = is_reference_file(grid)
-    reference = G.grid_to_table(grid.filter(wanted), mapped.filter(wanted))
-    regions = stage(reference_regions(reference), "regions")
-    return backfill_region(G.grid_to_table(grid, mapped), regions)
+    headers = G.header_rows(grid)
+    if bad is not None:
+        headers = headers.join(bad.select("file"), "file", "left_anti")
+    mapped = stage(G.header_map(grid, headers), "headers")
+    wanted = is_reference_file(grid, bad)
+    rows = G.grid_to_table(grid.filter(wanted), mapped.filter(wanted))
+    reference = rows.select("file", "row_idx", "nation", "region").dropna()
+    return Layout(mapped, stage(reference, "reference"), bad)
+
+
+def assemble(grid: DataFrame, layout: Layout | None = None, others: bool = False) -> DataFrame:
+    """S6-S10 and J2."""
+    layout = layout or read_layout(grid)
+    rows = G.grid_to_table(grid, layout.mapped, others=others)
+    return backfill_region(rows, reference_regions(layout.reference))
 
 
-def extract_listing(grid: DataFrame) -> DataFrame:
+def extract_listing(grid: DataFrame, layout: Layout | None = None) -> DataFrame:
     """S5 on top of the assembled rows."""
-    return G.inject_metadata(assemble(grid))
+    return G.inject_metadata(assemble(grid, layout))
 
 
-def ingest_grid(grid: DataFrame, nan_rule: bool = False, regions: DataFrame | None = None) -> Ingested:
+def ingest_grid(
+    grid: DataFrame, nan_rule: bool = False, regions: DataFrame | None = None, unreadable: DataFrame | None = None
+) -> Ingested:
     """Extract, clean and derive all files of a staged grid.
 
-    A file without a header row goes to ``bad_files``; the others go on.  The
-    extracted rows are written once, because filling reads them twice.
+    A file without a header row, or named in ``unreadable``, goes to ``bad_files``;
+    the others go on.  The extracted rows are written once, because filling reads
+    them twice.
     """
-    extracted = stage(extract_listing(grid), "listing")
+    layout = read_layout(grid, unreadable)
+    extracted = stage(extract_listing(grid, layout), "listing")
     cleaned = clean(extracted, nan_rule)
-    bad = G.files_without_header(grid, G.header_rows(grid))
-    return Ingested(extracted, cleaned, M.derive_entities(cleaned, regions), bad)
+    bad = G.files_without_header(grid, layout.mapped.select("file").distinct())
+    if unreadable is not None:
+        bad = bad.join(unreadable.select("file"), "file", "left_anti").unionByName(unreadable)
+    return Ingested(extracted, cleaned, M.derive_entities(cleaned, regions), bad, layout.reference)
 
 
 def ingest_cells(cells: DataFrame) -> Ingested:
     """The same for decoded workbooks, of which some may be unreadable.
 
-    Nothing of a file that failed half-way is used.
+    Nothing of a file that failed half-way is used.  Errors have no row number, so
+    they are a partition of the staged grid of their own.
     """
     staged = stage_grid(cells)
-    unreadable = staged.filter(F.col("error").isNotNull()).select(
-        "file", F.col("error").alias("reason")
-    )
-    readable = staged.filter(F.col("error").isNull()).drop("error")
-    result = ingest_grid(readable.join(unreadable.select("file"), "file", "left_anti"))
-    return Ingested(
-        result.extracted, result.cleaned, result.entities, result.bad_files.unionByName(unreadable)
-    )
+    errors = staged.filter(F.col("top").isNull()).select("file", F.col("error").alias("reason"))
+    return ingest_grid(staged.filter(F.col("top").isNotNull()).drop("error"), unreadable=stage(errors, "unreadable"))
 
 
 def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False) -> Ingested:
@@ -91,19 +116,59 @@ def watch_workbooks(
 ) -> StreamingQuery:
     """ST1 from a folder: workbooks that arrived since the last run are merged.
 
-    A reference file for missing regions is looked for within the same batch.
+    The store keeps the rows of reference files and fills missing regions when its
+    tables are read, so that it doesn't matter which files share a batch.  A file that
+    is written anew under its old name isn't seen again by the stream.
     """
-    cells = stream_workbooks(spark, source, files_per_batch)
-    return start_incremental(cells, lambda batch: ingest_cells(batch).entities, store, checkpoint)
+
+    def merge(cells: DataFrame, batch: int) -> None:
+        run = ingest_cells(cells)
+        store.apply(run.entities, batch, run.reference)
+
+    return start_merging(stream_workbooks(spark, source, files_per_batch), merge, checkpoint)
 
 
 def export_table(grid: DataFrame) -> DataFrame:
-    """The cleaned listing without file metadata, for a CSV export."""
+    """The cleaned listing without file metadata, canonical columns only, for one CSV table."""
     listing = stage(assemble(grid), "listing")
     filled = forward_fill(clean_values(listing), V.FILLED_COLUMNS)
     return drop_summary_rows(drop_empty_rows(filled)).select("file", "row_idx", *V.CANONICAL_COLUMNS)
 
 
+def export_lines(grid: DataFrame) -> DataFrame:
+    """``file, row_idx, line``: each file as CSV with all of its own columns.
+
+    The header line of a file has ``row_idx`` -1.  Columns keep the order of the
+    sheet, with repeated (suffixed) and unmapped ones; a region that was filled in is
+    the last column.
+    """
+    layout = read_layout(grid)
+    listing = stage(assemble(grid, layout, others=True), "listing")
+    clean_other = F.transform(
+        "others", lambda o: F.struct(o["col_idx"].alias("col_idx"), collapse_whitespace(o["value"]).alias("value"))
+    )
+    filled = forward_fill(clean_values(listing).withColumn("others", clean_other), V.FILLED_COLUMNS)
+    rows = drop_summary_rows(drop_empty_rows(filled))
+    columns = F.array_sort(F.collect_list(F.struct("col_idx", "column")))
+    names = layout.mapped.groupBy("file").agg(columns.alias("columns"))
+    own = F.create_map(*[x for c in V.CANONICAL_COLUMNS for x in (F.lit(c), F.col(c))])
+    added = F.when(F.col("region_key").isNotNull(), F.array("region"))
+
+    def value(column: Column) -> Column:
+        other = F.filter("others", lambda o: o["col_idx"] == column["col_idx"])
+        return F.coalesce(F.try_element_at("own", column["column"]), F.get(other, 0)["value"])
+
+    body = rows.withColumn("own", own).join(names, "file").select(
+        "file", "row_idx", csv_line(F.concat(F.transform("columns", value), F.coalesce(added, F.array()))).alias("line")
+    )
+    with_region = listing.groupBy("file").agg(F.max(F.col("region_key").isNotNull()).alias("added"))
+    extra = F.when(F.col("added"), F.array(F.lit("region"))).otherwise(F.array())
+    head = names.join(with_region, "file", "left").select(
+        "file", F.lit(-1).cast("long").alias("row_idx"), csv_line(F.concat("columns.column", extra)).alias("line")
+    )
+    return head.unionByName(body)
+
+
 def merged_university(entities: DataFrame) -> DataFrame:
     """The entity table of a full refresh.
 

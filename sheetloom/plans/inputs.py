@@ -95,9 +95,8 @@ INPUTS = {
         FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
              JOIN {{region}} ON n_regionkey = r_regionkey""",
     "d_region_map": """
-        SELECT n_name AS nation, r_name AS region
-        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
-        WHERE r_name <> 'AFRICA'""",
+        SELECT CASE WHEN r_name = 'AFRICA' THEN lower(n_name) ELSE n_name END AS nation, r_name AS region
+        FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "d_listing": f"""
         SELECT concat(CAST(year(o_orderdate) AS STRING), '-', CASE WHEN month(o_orderdate) <= 6 THEN '1' ELSE '2' END,
                       ' list.xlsx') AS file,
@@ -137,14 +136,16 @@ INPUTS = {
                     WHEN 1 THEN concat('(www.', substr(url, strpos_of(url, '://') + 3), ')')
                     WHEN 2 THEN substr(url, strpos_of(url, '://') + 3)
                     WHEN 3 THEN concat('[', url, '] 참조')
-                    WHEN 4 THEN CASE WHEN page_id % 12 = 4 THEN '3.5 / 4.5' END
+                    WHEN 4 THEN concat('3.5 / 4.5 ', url)
                     ELSE concat('mail: office@', substr(url, strpos_of(url, '://') + 3)) END AS website_url
-        FROM {pages}""",
+        FROM {pages}
+        UNION ALL SELECT -1 - page_id, CASE WHEN page_id % 2 = 0 THEN '3.5 / 4.5' END FROM {pages}""",
     "d_text": """
         SELECT doc_id AS id,
                CASE doc_id % 5 WHEN 0 THEN concat('  ', replace(text, ' ', '  '), ' ') WHEN 1 THEN replace(text, 'e', ' \n e')
-                    WHEN 2 THEN concat('\u3000', replace(text, 'a', '\u00a0')) WHEN 3 THEN '   ' ELSE text END AS text
-        FROM {documents}""",
+                    WHEN 2 THEN concat('\u3000', replace(text, 'a', '\u00a0')) ELSE text END AS text
+        FROM {documents}
+        UNION ALL SELECT -1 - doc_id, repeat(' ', CAST(doc_id % 4 AS INT)) FROM {documents}""",
     "d_document_requirement": f"""
         SELECT doc_id AS id, concat(text, ' ', coalesce({requirement_text('doc_id')}, '')) AS language_requirement,
                CASE WHEN doc_id % 3 = 0 THEN '유럽' ELSE lang END AS region,

@@ -13,6 +13,7 @@ from sheetloom.plans.inputs import derived, derived_sql
 from sheetloom.plans.merge_checks import VALID, entity_select, merged_ctes
 from sheetloom.plans.registry import query
 from sheetloom.session import run_dir
+from sheetloom.sources.sinks import read_tables
 from sheetloom.streaming.incremental import CatalogueStore, start_incremental
 
 LISTING = derived_sql("d_listing")
@@ -108,6 +109,19 @@ def orphan_check(spark: SparkSession, sf: str) -> DataFrame:
     return S.orphans(requirements, university.filter("is_exchange")).select("university_id", "exam_type")
 
 
+@query(
+    "stored_search",
+    f"""{MERGED} SELECT id, name_eng, nation, semester FROM university u WHERE EXISTS (
+        SELECT 1 FROM requirement r WHERE r.university_id = u.id AND r.exam_type = 'TOEFL' AND r.min_score <= 80 AND r.is_available)""",
+)
+def stored_search(spark: SparkSession, sf: str) -> DataFrame:
+    """A search that reads the stored tables: of the requirements only the exam's row groups."""
+    path = run_dir(spark, "tables")
+    I.full_load(entities(spark, sf), path)
+    found = S.search_by_score(*read_tables(spark, path), "TOEFL", 80.0, available_only=True)
+    return found.select("id", "name_eng", "nation", "semester")
+
+
 @query(
     "incremental_upsert",
     f"{MERGED} SELECT * EXCLUDE (id) FROM university",

@@ -112,7 +112,7 @@ def direct_scores(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("id", F.inline_outer("hits")).filter(F.col("exam_type").isNotNull())
 
 
-_LEVEL = "concat(substr('ABCDabc', 1 + CAST(id % 7 AS INT), 1), CAST(1 + id % 3 AS STRING))"
+_LEVEL = "replace(regexp_extract(coalesce(language_requirement, ''), '[A-Da-d]-?[1-6]', 0), '-', '')"
 
 
 @query(

@@ -27,11 +27,15 @@ def build_session(app: str = "sheetloom", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for written tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) a temporary folder is taken.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a session
+    in one process takes a temporary folder; on a cluster, whose executors would
+    each write to a disk of their own, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} can reach")
         base = tempfile.mkdtemp(prefix="sheetloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     sc = spark.sparkContext
@@ -40,6 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run's output."""
     return f"{shared_dir(spark).rstrip('/')}/sheetloom/{name}-{uuid.uuid4().hex}"

@@ -4,25 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sheetloom.session import exists
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """With header, UTF-8; Spark writes no byte-order mark."""
+    """With header, UTF-8, blanks as they are; an empty text is quoted, a null is not.
+
+    Spark writes no byte-order mark.
+    """
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
+def csv_line(values: Column) -> Column:
+    """An array of texts as one CSV line; nulls are nothing, empty texts and those with marks or blanks are quoted."""
+
+    def cell(v: Column) -> Column:
+        quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(v.isNull(), "").when(v.rlike(r'^$|[",\s]'), quoted).otherwise(v)
+
+    return F.array_join(F.transform(values, cell), ",")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """``file, row_idx, line`` as a folder of text for each file, its parts in the order of rows."""
+    (
+        lines.repartitionByRange("file", "row_idx")
+        .sortWithinPartitions("file", "row_idx")
+        .select("file", "line")
+        .write.mode("overwrite")
+        .partitionBy("file")
+        .text(path)
+    )
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Reads back what ``write_csv`` wrote: nothing is null, quoted nothing an empty text."""
     return (
         spark.read.option("header", True)
+        .option("nullValue", "\0")
+        .option("emptyValue", "")
         .option("escape", '"')
         .option("multiLine", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .schema(schema)
         .csv(path)
     )
@@ -33,29 +67,39 @@ def write_tables(
 ) -> tuple[DataFrame, DataFrame]:
     """Write the entities, derive their requirements from them, write those.
 
-    Requirements are range-partitioned and sorted by exam and score, so that a
-    score search reads only the row groups of its exam.
+    Both make a new snapshot; its marker is written last, so that readers see both
+    tables of one load or of the load before.  Requirements are range-partitioned and
+    sorted by exam and score, so that a score search reads only the row groups of its
+    exam.
     """
     spark = university.sparkSession
-    university.write.mode("overwrite").parquet(f"{path}/university")
+    number = (_last_snapshot(spark, path) or 0) + 1
+    folder = f"{path}/snapshot-{number}"
+    university.write.mode("overwrite").parquet(f"{folder}/university")
     (
-        derive(spark.read.parquet(f"{path}/university"))
+        derive(spark.read.parquet(f"{folder}/university"))
         .repartitionByRange("exam_type", "min_score", "university_id")
         .sortWithinPartitions("exam_type", "min_score")
         .write.mode("overwrite")
-        .parquet(f"{path}/language_requirement")
+        .parquet(f"{folder}/language_requirement")
     )
+    spark.range(1).write.mode("overwrite").parquet(f"{path}/snapshots/number={number}")
     return read_tables(spark, path)
 
 
+def _last_snapshot(spark: SparkSession, path: str) -> int | None:
+    if not exists(spark, f"{path}/snapshots"):
+        return None
+    return spark.read.schema("id long, number int").parquet(f"{path}/snapshots").agg(F.max("number")).first()[0]
+
+
 def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """S16."""
+    """Both tables of the last whole snapshot."""
+    number = _last_snapshot(spark, path)
+    if number is None:
+        raise FileNotFoundError(f"no tables in {path}")
+    folder = f"{path}/snapshot-{number}"
     return (
-        spark.read.parquet(f"{path}/university"),
-        spark.read.parquet(f"{path}/language_requirement"),
+        spark.read.parquet(f"{folder}/university"),
+        spark.read.parquet(f"{folder}/language_requirement"),
     )
-
-
-def write_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str]) -> None:
-    """S12 into a database; address and login come from the caller."""
-    df.write.mode("append").jdbc(url, table, properties=options)

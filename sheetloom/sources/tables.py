@@ -1,20 +1,15 @@
-"""Reading Parquet tables with enough partitions for text work."""
+"""Reading Parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has fewer splits than the session has cores.
-
-    A small table in one file would put all text extraction into one task.
-    Large tables have more splits than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Session setting: a number of partitions that callers want tables dealt into, for
+#: small tables in one row group.  Unset, scans are split by Spark's own settings.
+PARTITIONS = "sheetloom.scan.partitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, small: bool = False) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return table if small else spread(table)
+    wanted = spark.conf.get(PARTITIONS, None)
+    return table.repartition(int(wanted)) if wanted and not small else table

@@ -11,12 +11,15 @@ import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetloom.functions.fields import FOLDER_MARK
 from sheetloom.operators.grid import latest_file
 
 GRID_SCHEMA = "file string, row_idx long, col_idx int, value string, error string"
@@ -30,7 +33,10 @@ _ARROW_SCHEMA = pa.schema(
     ]
 )
 _NAMES = "*.{xlsx,xls}"
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/+"
 _BATCH_CELLS = 50_000
+# Number formats that show dates and times.
+_BUILT_IN_DATES = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
@@ -39,15 +45,21 @@ def list_workbooks(spark: SparkSession, path: str, latest_only: bool = False) ->
     """``file, content`` of the spreadsheets in a folder, or of one file.
 
     Lock files, whose names start with ``~``, are left out.  A missing path is
-    an error.
+    an error.  ``file`` is the name of the file; files that lie elsewhere than in
+    the given folder have their own folder after it (see ``base_name``), so that
+    equal names in two folders are two files.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", _NAMES)
-    files = _named(reader.load(path))
+    files = _named(reader.load(path), path)
     return latest_file(files) if latest_only else files
 
 
-def _named(files: DataFrame) -> DataFrame:
-    file = F.substring_index("path", "/", -1)
+def _named(files: DataFrame, source: str) -> DataFrame:
+    place = F.regexp_replace("path", _AUTHORITY, "/")
+    root = re.sub(_AUTHORITY, "/", source).rstrip("/")
+    name = F.substring_index(place, "/", -1)
+    folder = F.left(place, F.length(place) - F.length(name) - 1)
+    file = F.when((folder == root) | (place == root), name).otherwise(F.concat_ws(FOLDER_MARK, name, folder))
     return files.select(file.alias("file"), "content").filter(~F.col("file").startswith("~"))
 
 
@@ -69,7 +81,7 @@ def stream_workbooks(spark: SparkSession, path: str, files_per_batch: int = 1000
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
     )
-    return decode(_named(files))
+    return decode(_named(files, path))
 
 
 def decode(files: DataFrame) -> DataFrame:
@@ -111,7 +123,7 @@ def sheet_cells(source: io.IOBase) -> Iterator[tuple[int, int, str | None]]:
     The sheet is read as a stream; only the shared strings are held whole.
     """
     with zipfile.ZipFile(source) as book:
-        strings = _shared_strings(book)
+        strings, dates = _shared_strings(book), _date_formats(book)
         with book.open(_active_sheet(book)) as sheet:
             row_no, rows = -1, None
             for event, element in ElementTree.iterparse(sheet, events=("start", "end")):
@@ -123,7 +135,7 @@ def sheet_cells(source: io.IOBase) -> Iterator[tuple[int, int, str | None]]:
                         col_no = -1
                 elif element.tag == _MAIN + "c":
                     col_no = _column_number(element.get("r"), col_no + 1)
-                    yield row_no, col_no, _cell_text(element, strings)
+                    yield row_no, col_no, _cell_text(element, strings, dates)
                 elif element.tag == _MAIN + "row":
                     rows.clear()  # drop the finished row, also from its parent
 
@@ -171,7 +183,42 @@ def _column_number(reference: str | None, default: int) -> int:
     return number - 1
 
 
-def _cell_text(cell: ElementTree.Element, strings: list[str]) -> str | None:
+@dataclass
+class DateFormats:
+    """Which cell styles show a date, and the day that number 0 stands for."""
+
+    styles: frozenset[int]
+    first_day: datetime
+
+
+def _date_formats(book: zipfile.ZipFile) -> DateFormats:
+    """Styles whose number format is one of the built-in date formats or names a part of a date."""
+    root = ElementTree.fromstring(book.read("xl/workbook.xml"))
+    settings = root.find(f"{_MAIN}workbookPr")
+    late = settings is not None and settings.get("date1904") in ("1", "true")
+    first_day = datetime(1904, 1, 1) if late else datetime(1899, 12, 30)
+    if "xl/styles.xml" not in book.namelist():
+        return DateFormats(frozenset(), first_day)
+    sheet = ElementTree.fromstring(book.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): f.get("formatCode", "") for f in sheet.iterfind(f"{_MAIN}numFmts/{_MAIN}numFmt")}
+    dated = {
+        i for i, code in own.items() if re.search("[ymdhs]", re.sub(r'"[^"]*"|\\.|\[(?![hms]+\])[^\]]*\]', "", code.lower()))
+    }
+    formats = [int(x.get("numFmtId", 0)) for x in sheet.iterfind(f"{_MAIN}cellXfs/{_MAIN}xf")]
+    styles = (i for i, f in enumerate(formats) if f in dated or f in _BUILT_IN_DATES and f not in own)
+    return DateFormats(frozenset(styles), first_day)
+
+
+def _date_text(text: str, first_day: datetime) -> str:
+    """ISO text of a day number: date and time, or the time alone below the first day."""
+    number = float(text)
+    if not 0 <= number < 2_958_466:
+        return _number_text(text)
+    moment = first_day + timedelta(seconds=round(number * 86_400))
+    return moment.isoformat(" ") if number >= 1 else moment.time().isoformat()
+
+
+def _cell_text(cell: ElementTree.Element, strings: list[str], dates: DateFormats) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         inline = cell.find(_MAIN + "is")
@@ -184,11 +231,20 @@ def _cell_text(cell: ElementTree.Element, strings: list[str]) -> str | None:
     if kind == "b":
         return "True" if value.text == "1" else "False"
     if kind == "n":
+        if int(cell.get("s", 0)) in dates.styles:
+            return _date_text(value.text, dates.first_day)
         return _number_text(value.text)
+    if kind == "d":
+        return value.text.replace("T", " ")
     return value.text
 
 
 def _number_text(text: str) -> str:
-    """Whole numbers without decimals, others in their shortest form."""
+    """Whole numbers without decimals, others in their shortest form.
+
+    How a number is stored decides: digits stay digits, powers of ten stay such.
+    """
+    if re.fullmatch(r"-?[0-9]+", text):
+        return str(int(text))
     number = float(text)
-    return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
+    return str(int(number)) if number.is_integer() and "e" not in text.lower() else repr(number)

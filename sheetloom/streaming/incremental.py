@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheetloom.operators.merge import (
-    ATTRIBUTES,
+    KEPT,
     KEY,
     assign_ids,
     collapse,
@@ -26,12 +26,15 @@ from sheetloom.operators.merge import (
     requirement_table,
     university_table,
 )
-from sheetloom.session import shared_dir
+from sheetloom import vocabulary as V
+from sheetloom.operators.regions import join_regions, reference_regions
+from sheetloom.session import exists, shared_dir
 from sheetloom.sources.staging import stage
 
 _TYPES = {"min_gpa": "double", "is_exchange": "boolean", "is_visit": "boolean", "has_review": "boolean"}
-_LATEST = ",".join(f"{c}:{_TYPES.get(c, 'string')}" for c in ATTRIBUTES)
+_LATEST = ",".join(f"{c}:{_TYPES.get(c, 'string')}" for c in KEPT)
 _POSITION = "struct<file:string,row_idx:bigint>"
+_REFERENCE = "file string, row_idx bigint, nation string, region string"
 STATE_SCHEMA = (
     f"name_eng string, nation string, first_seen {_POSITION}, last_seen {_POSITION}, "
     f"latest struct<{_LATEST}>, semesters array<string>, id bigint"
@@ -53,17 +56,14 @@ class CatalogueStore:
             ("markers", "upto", nothing.select("id")),
             ("compacted", "upto", nothing),
             ("state", "batch", nothing),
+            ("reference", "batch", self.spark.createDataFrame([], _REFERENCE)),
         ):
             numbered = rows.withColumn(number, F.lit(0).cast("long"))
             numbered.write.mode("overwrite").partitionBy(number).parquet(f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
+        path = f"{self.path}/{name}"
+        return self.spark.read.schema(schema).parquet(path) if exists(self.spark, path) else None
 
     def states(self, before: int | None = None) -> DataFrame:
         """Merged state records, optionally only of earlier batches."""
@@ -73,14 +73,14 @@ class CatalogueStore:
         """All state records; a key has one per batch that touched it."""
         records = self._read("state", STATE_SCHEMA + ", batch bigint")
         if records is None:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return self.spark.createDataFrame([], STATE_SCHEMA + ", batch bigint")
         if before is not None:
             records = records.filter(F.col("batch") < before)
         base = self._compacted(before)
         if base is None:
-            return records.drop("batch")
+            return records
         upto, merged = base
-        return records.filter(F.col("batch") > upto).drop("batch").unionByName(merged)
+        return records.filter(F.col("batch") > upto).unionByName(merged.withColumn("batch", F.lit(upto)))
 
     def _compacted(self, before: int | None) -> tuple[int, DataFrame] | None:
         markers = self._read("markers", "id bigint, upto bigint")
@@ -94,8 +94,12 @@ class CatalogueStore:
         base = self._read("compacted", STATE_SCHEMA + ", upto bigint")
         return upto, base.filter(F.col("upto") == upto).drop("upto")
 
-    def apply(self, entities: DataFrame, batch: int) -> None:
-        """Merge one batch of derived listing rows."""
+    def apply(self, entities: DataFrame, batch: int, reference: DataFrame | None = None) -> None:
+        """Merge one batch of derived listing rows, and the rows of its reference file."""
+        if reference is not None:
+            reference.write.mode("overwrite").parquet(f"{self.path}/reference/batch={batch}")
+        if "region_key" not in entities.columns:
+            entities = entities.withColumn("region_key", F.lit(None).cast("string"))
         stored = self._records(before=batch)
         states = stage(collapse(entities.filter(has_keys())), "batch")
         last_id = stored.agg(F.max("id")).first()[0] or 0
@@ -115,8 +119,24 @@ class CatalogueStore:
         )
         self.spark.range(1).write.mode("overwrite").parquet(f"{self.path}/markers/upto={upto}")
 
+    def _regions(self) -> DataFrame | None:
+        """Nation -> region of the last reference file of all batches."""
+        rows = self._read("reference", _REFERENCE + ", batch bigint")
+        if rows is None:
+            return None
+        last = rows.filter(F.col("file") == rows.agg(F.max("file")).scalar())
+        newest = last.filter(F.col("batch") == last.agg(F.max("batch")).scalar())
+        return reference_regions(newest)
+
     def university(self) -> DataFrame:
-        return university_table(self.states())
+        """The entity table; regions that depend on a reference file follow the last one stored."""
+        table, regions = university_table(self.states(), keep=("region_key",)), self._regions()
+        if regions is not None:
+            found = join_regions(table, regions, F.col("region_key"))
+            looked_up = F.coalesce("_region", F.lit(V.UNKNOWN))
+            region = F.when(F.col("region_key").isNull(), F.col("region")).otherwise(looked_up)
+            table = found.withColumn("region", region).drop("_region")
+        return table.drop("region_key")
 
     def rejected(self) -> DataFrame:
         return rejected_entities(self.states())
@@ -135,8 +155,12 @@ def start_incremental(
 
     Runs through what has arrived and stops; the checkpoint remembers it.
     """
+    return start_merging(stream, lambda df, batch: store.apply(derive(df), batch), checkpoint)
+
+
+def start_merging(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(lambda df, batch: store.apply(derive(df), batch))
+        stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -4,6 +4,7 @@ import pytest
 
 from sheetloom import vocabulary as V
 from sheetloom.functions import requirements as R
+from sheetloom.operators.regions import fill_region
 from sheetloom.operators.requirements import (
     expand_codes,
     extract_requirements,
@@ -166,3 +167,10 @@ def test_extraction_is_one_narrow_stage(spark):
     df = spark.range(10).select("id", F.lit("A2").alias("language_requirement"), F.lit("유럽").alias("region"))
     plan = extract_requirements(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_nation_counts_once(spark):
+    """Repeated lookup keys don't multiply rows; rows with a region need none."""
+    rows = spark.createDataFrame([("f", 1, "독일", None), ("f", 2, "독일", "아시아"), ("f", 3, None, None)], "file string, row_idx long, nation string, region string")
+    lookup = spark.createDataFrame([("독일", "유럽"), ("독일", "유럽"), ("독일", "a")], "nation string, region string")
+    assert [r.region for r in fill_region(rows, lookup).orderBy("row_idx").collect()] == ["유럽", "아시아", "미분류"]

@@ -1,19 +1,25 @@
 """Workbook scan and the run over a folder of workbooks."""
 
+import zipfile
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sheetloom.plans.ingest import (
     assemble,
+    export_lines,
     export_table,
     full_load,
     ingest_workbooks,
     stage_grid,
     watch_workbooks,
 )
-from sheetloom.sources.workbook import list_workbooks, read_workbooks
+from sheetloom.session import shared_dir
+from sheetloom.sources.sinks import read_csv, read_tables, write_csv, write_lines
+from sheetloom.sources.workbook import _number_text, list_workbooks, read_workbooks, sheet_cells
 from sheetloom.streaming.incremental import CatalogueStore
+from workbooks import _MAIN as MAIN
 from workbooks import write_workbook
 
 BASIC = [["국가", "대학명", "어학조건"], ["미국", "Harvard", "TOEFL 100"], ["일본", "Tokyo University", "JLPT N1"]]
@@ -139,3 +145,101 @@ def test_export_has_no_file_semester(spark, tmp_path):
     rows = export_table(stage_grid(cells)).collect()
     assert {r.semester for r in rows} == {None}
     assert {r.min_gpa for r in rows} == {"3.5/4.5", "85/4.5", None}
+
+
+REFERENCE = [["지역", "국가", "대학명", "대학명(영문)"], ["유럽", "독일", "뮌헨", "Munich"], ["중동", "터키", "앙카라", "Ankara"]]
+WITHOUT_REGION = [["국가", "대학명", "대학명(영문)", "어학성적"], ["독일", "베를린", "Berlin", "B2"], [None, "본", "Bonn", "B2"]]
+
+
+@pytest.mark.parametrize("batch", [1, 1000])
+def test_batches_do_not_decide_regions(spark, tmp_path, batch):
+    """A reference file fills regions of files of any batch, also of earlier ones."""
+    source = tmp_path / "in"
+    source.mkdir()
+    write_workbook(source / "2023-1 list.xlsx", WITHOUT_REGION)
+    store = CatalogueStore(spark, str(tmp_path / "store"))
+    if batch == 1:
+        watch_workbooks(spark, str(source), store, str(tmp_path / "c"), 1).awaitTermination()
+        assert {r.region for r in store.university().collect()} == {"Unknown"}
+    write_workbook(source / "2024-1 list.xlsx", REFERENCE)
+    watch_workbooks(spark, str(source), store, str(tmp_path / "c"), batch).awaitTermination()
+    university, requirements = full_load(ingest_workbooks(spark, str(source)).entities)
+    stored = {r.name_eng: r.region for r in store.university().collect()}
+    assert stored == {r.name_eng: r.region for r in university.collect()}
+    assert stored["Berlin"] == "유럽"
+    exams = [sorted((r.exam_type, r.min_score) for r in t.collect()) for t in (store.language_requirement(), requirements)]
+    assert exams[0] == exams[1] and exams[0]
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    for folder, name in (("x", "Uni X"), ("y", "Uni Y")):
+        (tmp_path / folder).mkdir()
+        write_workbook(tmp_path / folder / "2024-1.xlsx", [["국가", "대학명", "대학명(영문)"], ["미국", name, name]])
+    run = ingest_workbooks(spark, str(tmp_path / "*"))
+    rows = {(r.name_kor, r.filename, r.semester) for r in run.cleaned.collect()}
+    assert rows == {("Uni X", "2024-1.xlsx", "2024-1"), ("Uni Y", "2024-1.xlsx", "2024-1")}
+    assert run.cleaned.select("file").distinct().count() == 2
+
+
+def test_export_keeps_all_columns_and_blanks(spark, tmp_path):
+    head = ["국가", "대학명", "비고", "비고", "기숙사", "비고(참조)"]
+    write_workbook(tmp_path / "2024-1.xlsx", [head, ["미국", "A", "r1", "r2", ' a,"b" ', None], ["미국", "B", None, "", "on\ncampus", "x"]])
+    cells = read_workbooks(spark, str(tmp_path)).drop("error")
+    lines = [r.line for r in export_lines(stage_grid(cells)).orderBy("row_idx").collect()]
+    assert lines[0] == "nation,name_kor,remark,remark_1,기숙사,remark_ref"
+    assert lines[1] == '미국,A,r1,r2,"a,""b""",' and lines[2].startswith("미국,B,,") and lines[2].endswith('"on campus",x')
+    write_lines(export_lines(stage_grid(cells)), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out")).count() == 3
+    table = spark.createDataFrame([(" x ", "  ", "", None)], "a string, b string, c string, d string")
+    write_csv(table, str(tmp_path / "csv"))
+    assert read_csv(spark, str(tmp_path / "csv"), table.schema.simpleString()[7:-1].replace(":", " ")).collect() == table.collect()
+
+
+def test_numbers_follow_their_stored_text():
+    shown = {"1000000000000000": "1000000000000000", "123456789012345678": "123456789012345678", "85.0": "85", "1E+16": "1e+16", "0.1": "0.1"}
+    assert {text: _number_text(text) for text in shown} == shown
+
+
+def test_date_cells(tmp_path):
+    path = write_workbook(tmp_path / "d.xlsx", [[45292, 45292.5, 0.375, 7]])
+    styles = (
+        f'<styleSheet xmlns="{MAIN}"><numFmts><numFmt numFmtId="164" formatCode="yyyy&quot;년&quot; m"/>'
+        '<numFmt numFmtId="165" formatCode="0.00&quot;days&quot;[Red]"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/>'
+        '<xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    )
+    with zipfile.ZipFile(path) as old:
+        parts = {n: old.read(n) for n in old.namelist()}
+    sheet = parts["xl/worksheets/sheet1.xml"].decode()
+    for ref, style in (("A1", 1), ("B1", 2), ("C1", 1), ("D1", 3)):
+        sheet = sheet.replace(f'<c r="{ref}"', f'<c r="{ref}" s="{style}"')
+    parts |= {"xl/worksheets/sheet1.xml": sheet.encode(), "xl/styles.xml": styles.encode()}
+    with zipfile.ZipFile(path, "w") as book:
+        for name, content in parts.items():
+            book.writestr(name, content)
+    values = [v for _, _, v in sheet_cells(open(path, "rb"))]
+    assert values == ["2024-01-01 00:00:00", "2024-01-01 12:00:00", "09:00:00", "7"]
+
+
+def test_snapshots_switch_as_a_whole(spark, tmp_path):
+    _folder(tmp_path)
+    entities = ingest_workbooks(spark, str(tmp_path)).entities
+    target = str(tmp_path / "tables")
+    first = [t.count() for t in full_load(entities, target)]
+    (tmp_path / "tables" / "snapshot-2" / "university").mkdir(parents=True)
+    assert [t.count() for t in read_tables(spark, target)] == first
+    full_load(entities, target)
+    assert [t.count() for t in read_tables(spark, target)] == first
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        get = staticmethod(lambda key, default: None)
+
+    class Session:
+        conf = Conf
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
