@@ -11,11 +11,12 @@ from sheetloom.operators import grid as G
 from sheetloom.operators import reports as A
 from sheetloom.plans import checks as C
 from sheetloom.plans import ingest as I
-from sheetloom.plans.inputs import derived, derived_sql, sheet_cells, sheet_cells_sql
+from sheetloom.plans.inputs import derived, derived_sql, sheet_books, sheet_cells, sheet_cells_sql
 from sheetloom.plans.merge_checks import entity_select, merged_ctes
 from sheetloom.plans.registry import query
 from sheetloom.session import run_dir
 from sheetloom.sources.sinks import read_csv, write_csv
+from sheetloom.sources.workbook import decode
 
 _SYNONYMS = [(i, s, c) for i, (s, c) in enumerate(V.HEADER_SYNONYMS)]
 
@@ -199,6 +200,18 @@ def catalogue_requirement(spark: SparkSession, sf: str) -> DataFrame:
     return I.full_load(I.ingest_grid(_staged(spark, sf)).entities)[1]
 
 
+@query("workbook_cells", f"WITH {GRID} SELECT file, row_idx, col_idx, value FROM cells WHERE value IS NOT NULL")
+def workbook_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The sheets as workbooks, and what is read from them."""
+    return decode(sheet_books(sheet_cells(spark, sf))).select("file", "row_idx", "col_idx", "value")
+
+
+@query("workbook_university", f"{_MERGED} SELECT * FROM university")
+def workbook_university(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole run from workbooks to entities."""
+    return I.merged_university(I.ingest_cells(decode(sheet_books(sheet_cells(spark, sf)))).entities)
+
+
 _EXPORT = f"WITH {BACKFILLED}, {_cleaned_sql('filled')}"
 
 
