@@ -42,10 +42,16 @@ STATE_SCHEMA = (
 
 
 class CatalogueStore:
-    """The stored state of the two tables under one folder."""
+    """The stored state of the two tables under one folder.
 
-    def __init__(self, spark: SparkSession, path: str):
+    Every ``compact_every`` batches the records of all batches are folded into one
+    per entity, so that what a read merges, and the term sets of an entity in it,
+    stay bounded however long a stream runs.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 50):
         self.spark = spark
+        self.compact_every = compact_every
         self.path = path.rstrip("/")
         shared_dir(spark)
 
@@ -107,6 +113,8 @@ class CatalogueStore:
         states.join(fresh.select(*KEY, "id"), KEY, "left").write.mode("overwrite").parquet(
             f"{self.path}/state/batch={batch}"
         )
+        if batch and batch % self.compact_every == 0:
+            self.compact(batch)
 
     def compact(self, upto: int) -> None:
         """Fold all batches up to a number into one set of records.

@@ -229,6 +229,16 @@ def test_reset_keeps_no_ids(spark):
         assert sorted(r.id for r in store.university().collect()) == [1, 2]
 
 
+def test_folding_on_the_way(spark):
+    """Folded batches, equal positions and later terms: the later batch wins, all terms stay."""
+    store = CatalogueStore(spark, run_dir(spark, "test-fold"), compact_every=2)
+    for batch, (text, semester) in enumerate([("A1", "2023-1"), ("A2", "2023-2"), ("A3", "2024-1"), ("A4", "2024-2")]):
+        store.apply(M.derive_entities(listing(spark, row("a", language_requirement=text, semester=semester))), batch)
+        got = store.university().collect()
+        assert [r.language_score for r in got] == [text]
+    assert got[0].semester == "2024-2, 2024-1, 2023-2, 2023-1"
+
+
 @pytest.mark.parametrize("single", ["2024-1", "2024-1, 2023-1"])
 def test_a_single_semester_text_stays(spark, single):
     got, _ = load(spark, row(semester=single))
