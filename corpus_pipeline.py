@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import stages
-from sheetloom.sources.staging import stage
+from sheetloom.sources.staging import collected, release, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,7 +25,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The manifest of the shards; tables in between are deleted once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "_"))
+        with collected() as folders:
+            docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "_"))
+        release(spark, before + folders[:-1])
+        before = folders[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

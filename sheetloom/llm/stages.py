@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sheetloom.llm import decontaminate
@@ -9,28 +12,59 @@ from sheetloom.llm import mixing as mix
 from sheetloom.llm import quality_rules as rules
 from sheetloom.llm import simhash, token_shards
 from sheetloom.llm.common import read
+from sheetloom.sources.staging import collected, release
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Folders that stages before have staged.
+_left: list[str] = []
+
+
+def _step(run: Stage) -> Stage:
+    """A stage that first deletes what stages before it have staged, unless its documents still read it.
+
+    The result of a stage has to be written before the next stage is called on what
+    was written; then nothing reads the tables that led to it.
+    """
+
+    @wraps(run)
+    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        files = docs.inputFiles() if _left else []
+        gone = [folder for folder in _left if not any(folder.rpartition("/")[2] in file for file in files)]
+        release(spark, gone)
+        with collected() as folders:
+            out = run(spark, docs, sf_dir)
+        _left[:] = [f for f in _left if f not in gone] + folders
+        return out
+
+    return step
 
 
+@_step
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
     return rules.quality_rules(docs, with_rows=True).filter("kept").select("row.*")
 
 
+@_step
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return simhash.simhash_dedup(docs)
 
 
+@_step
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
     return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
+@_step
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as often as the mix takes it."""
     return mix.sample_mix(docs)
 
 
+@_step
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The manifest of the shards: a row per sequence, with its place and documents."""
     return token_shards.write_training_order(docs, token_shards.new_folder(spark))

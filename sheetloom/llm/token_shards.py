@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.llm.tokens import Bpe, vocabulary_path
 from sheetloom.session import run_dir
-from sheetloom.sources.staging import stage
+from sheetloom.sources.staging import collected, release, stage
 
 ROUNDS = 6
 #: Tokens that are compressed together while documents wait for their place.
@@ -241,8 +241,16 @@ def write_training_order(
     lists a sequence's documents in order.  Repeated rows are documents like any
     other.  An empty table gives no shard.  Extra columns are ignored.
     """
+    with collected() as waiting:
+        manifest = _write_shards(docs, folder, length, shard_size, key, id_col, text_col, vocabulary or vocabulary_path())
+    release(docs.sparkSession, waiting)
+    return manifest
+
+
+def _write_shards(
+    docs: DataFrame, folder: str, length: int, shard_size: int, key: int, id_col: str, text_col: str, path: str
+) -> DataFrame:
     spark = docs.sparkSession
-    path = vocabulary or vocabulary_path()
     end = Bpe(path).size
     id_type = docs.schema[id_col].dataType.simpleString()
     chunks = stage(
