@@ -72,7 +72,7 @@ def _tokenise(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bpe, pack = Bpe(path), zstandard.ZstdCompressor(level=3)
+        bpe, pack = Bpe(path), zstandard.ZstdCompressor(level=6)
         part, at = TaskContext.get().partitionId(), 0
         ids, lengths, tokens, n = [], [], [], 0
         end = np.array([bpe.size], np.uint32)
