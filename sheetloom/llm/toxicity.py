@@ -46,19 +46,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit(
-    rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, l2: float = 1e-4, steps: int = 300
+    index: np.ndarray, size: np.ndarray, y: np.ndarray, ratio: np.ndarray, l2: float = 1e-4, steps: int = 300
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression on presence times ratio, by accelerated gradient steps."""
-    size = np.array([len(r) for r in rows])
-    index = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), size)
+    """Logistic regression on presence times ratio, by accelerated gradient steps.
+
+    ``index`` holds the features of all rows one after the other, ``size`` how many each has.
+    """
+    row = np.repeat(np.arange(len(y)), size)
     scale = ratio[index]
 
     def forward(w: np.ndarray) -> np.ndarray:
-        return np.bincount(row, scale * w[index], len(rows))
+        return np.bincount(row, scale * w[index], len(y))
 
     def backward(e: np.ndarray) -> np.ndarray:
-        return np.bincount(index, scale * e[row], len(ratio)) / len(rows)
+        return np.bincount(index, scale * e[row], len(ratio)) / len(y)
 
     # The step follows from the largest eigenvalue of the features' second moments.
     v, largest = np.ones(len(ratio)), 1.0
@@ -138,9 +139,10 @@ def train_toxicity(
             found = pa.array([f[f >= 0] for f in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch["label"], found], names=["label", "features"])
 
-    sample = rows.mapInArrow(narrow, "label int, features array<int>").collect()
-    y = np.array([r["label"] for r in sample], float)
-    weights, bias = _fit([np.array(r["features"], np.int64) for r in sample], y, ratio)
+    sample = rows.mapInArrow(narrow, "label int, features array<int>").toArrow().combine_chunks()
+    features = sample["features"].combine_chunks()
+    y = sample["label"].to_numpy().astype(float)
+    weights, bias = _fit(features.flatten().to_numpy(), features.value_lengths().to_numpy(), y, ratio)
     return ToxicityModel(buckets, weights, bias + _logit(prior) - _logit((m1 + 0.5) / (m0 + m1 + 2)))
 
 
