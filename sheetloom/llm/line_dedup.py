@@ -24,7 +24,9 @@ def dedup_lines(
 
     Only 128 bits of hash, the position and the id of long lines are shuffled to
     count; the count combines before the shuffle, so a line of every third
-    document is no hot spot.  Dropped positions then meet the texts again.
+    document is no hot spot.  The shared lines are written first: the join back is
+    a broadcast where their size allows, and else one whose skewed partitions Spark
+    splits.  Dropped positions then meet the texts again.
 
     A null text is one empty line.  Rows with a null id count as one document
     below all others.  Rows that repeat an id count once and get the same verdict.
@@ -43,14 +45,15 @@ def dedup_lines(
         ),
         "lines",
     )
-    shared = (
+    shared = stage(
         lines.groupBy("h1", "h2")
         .agg(
             (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("n_docs"),
             F.max("id").alias("keeper"),
         )
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "shared",
     )
     drops = stage(
         lines.join(shared, ["h1", "h2"])
