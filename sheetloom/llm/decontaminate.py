@@ -37,6 +37,8 @@ SHORT = 8
 MAX_TERMS = 1 << 17
 #: Passages that one pass over the documents looks for; more are further passes.
 BLOCK = 20_000
+#: Pairs of a window and a passage that are weighed at once.
+CELLS = 1 << 22
 
 
 def passages(words: np.ndarray) -> list[np.ndarray]:
@@ -252,6 +254,45 @@ class _Search:
         self.answers = [(_masks(w.tolist()), len(w)) for w in block.answers]
         self.bags = [dict(zip(w, model.idf[w].tolist())) for w in self.words]
         self.least = [WEIGHT * w for w in block.weight.tolist()]
+        self._index(model.idf)
+
+    def _index(self, idf: np.ndarray) -> None:
+        """Terms -> the passages with them and their weight there, and the weight that a window must have of them.
+
+        A passage's commonest terms are left out as far as they weigh less than half of
+        what it needs; what they may add is taken off the need, so that every window
+        that ``share`` accepts has it.
+        """
+        terms, weights, need = [], [], np.empty(len(self.words))
+        for p, words in enumerate(self.block.words):
+            own, tf = np.unique(words, return_counts=True)
+            order = np.argsort(idf[own], kind="stable")
+            own, weight = own[order], (tf * idf[own])[order]
+            common = np.searchsorted(np.cumsum(weight), self.least[p] / 2)
+            need[p] = self.least[p] - weight[:common].sum() - 1e-6 * weight.sum()
+            terms.append(own[common:])
+            weights.append(weight[common:])
+        sizes = [len(t) for t in terms]
+        term = np.concatenate(terms)
+        order = np.argsort(term, kind="stable")
+        self.of_passage = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.of_weight = np.concatenate(weights)[order]
+        self.need = need
+        # One more term for -1, which no passage has.
+        self.count = np.bincount(term, minlength=len(idf) + 1)
+        self.start = np.cumsum(self.count) - self.count
+
+    def heavy(self, windows: np.ndarray) -> np.ndarray:
+        """``windows x passages``: whether a window has the weight that the passage needs."""
+        size = len(self.need)
+        row, column = np.nonzero(self.count[windows])
+        pairs = np.unique(row * len(self.count) + windows[row, column])
+        row, term = np.divmod(pairs, len(self.count))
+        count = self.count[term]
+        at = np.arange(count.sum()) + np.repeat(self.start[term] - (np.cumsum(count) - count), count)
+        cell = np.repeat(row * size, count) + self.of_passage[at]
+        found = np.bincount(cell, self.of_weight[at], minlength=len(windows) * size)
+        return found.reshape(len(windows), size) >= self.need
 
     def find(self, column: pa.Array) -> list[list[tuple]]:
         """For each text the items in it, with the share of words in order."""
@@ -269,8 +310,13 @@ class _Search:
             double = ~last[window]
             sums[double] += latent[window[double] + 1]
             sums = _unit(sums)
-            for i in range(0, len(window), 2048):
-                for a, p in zip(*np.nonzero(sums[i : i + 2048] @ self.latent >= COSINE)):
+            step = min(2048, max(1, CELLS // len(self.need)))
+            for i in range(0, len(window), step):
+                part = window[i : i + step]
+                follows = np.where(double[i : i + step, None], rows[np.minimum(part + 1, len(rows) - 1)], -1)
+                near = sums[i : i + step] @ self.latent >= COSINE
+                near |= self.heavy(np.concatenate([rows[part], follows], axis=1))
+                for a, p in zip(*np.nonzero(near)):
                     at = window[i + a]
                     share = self.share(rows[at : at + 1 + double[i + a]].ravel().tolist(), p)
                     if share:
@@ -300,9 +346,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Benchmark items are cut into passages and documents read in overlapping windows,
     whole.  Weights are inverse frequencies among all documents' passages; a randomised
     SVD of the passages' TF-IDF matrix gives a latent space; windows and passages whose
-    cosine in it is large enough are candidates.  A candidate counts if the passage's
-    words lie in the window in order for the most part, or to a lesser part along with
-    the item's last words (its answer), and weigh enough.
+    cosine in it is large enough are candidates, and so are all that have the weight in
+    common without which none counts: neither the rank nor the other words of a window
+    lose a passage.  A candidate counts if the passage's words lie in the window in
+    order for the most part, or to a lesser part along with the item's last words (its
+    answer), and weigh enough.
 
     ``item_ids`` are the items found, in order; ``score`` the largest share of words
     in order (0: none).  Null and empty texts hold nothing; null and empty items are not

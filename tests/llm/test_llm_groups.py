@@ -159,6 +159,16 @@ def test_leaks_against_brute_force(spark):
     assert found == expected and expected
 
 
+def test_no_verbatim_passage_is_lost(spark):
+    """Thousands of passages of 15 words and fewer, each pasted unchanged between other words of the benchmark."""
+    bench = [(i, words(5000 + i, 15 if i % 10 else 5)) for i in range(3000)]
+    docs = [(i, " ".join([words(20_000 + i, 37 + i % 60), bench[i * 5][1], words(40_000 + i, 90)])) for i in range(600)]
+    expected = {(d, i) for d, text in docs for i, item in bench if f" {item} " in f" {text} "}
+    table, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    found = {(r["doc_id"], i) for r in decontaminate.find_leaks(table, items).collect() for i in r["item_ids"]}
+    assert expected <= found and {(d, d * 5) for d, _ in docs} <= expected
+
+
 def test_lcs_in_bits():
     dice = random.Random(1)
     for _ in range(200):
