@@ -244,6 +244,35 @@ def test_wrapper_without_named_elements():
     assert shape(found) == "page(p(#)h2(#)p(#)div(#))"
 
 
+def extracted(pages):
+    """Main texts of one host's pages, by wrappers alone."""
+    wrapper = None
+    for page in pages:
+        wrapper = html_extract._join(wrapper, html_extract.folded(parse(page)[0]))
+    out = []
+    for page in pages:
+        found, texts = parse(page)
+        out.append([texts[i] for i in main_texts(Node.unpack(wrapper.pack()), found)])
+    return out
+
+
+def test_mixed_layouts_keep_their_texts():
+    """Blocks of an article in any order: what folds into groups must still be found."""
+    dice = random.Random(2)
+    block = {
+        "p": lambda t: (f"<p>{t}</p>", [t]),
+        "ul": lambda t: (f"<ul><li>{t}a</li><li>{t}b</li></ul>", [f"{t}a", f"{t}b"]),
+        "h2": lambda t: (f"<h2>{t}</h2>", [t]),
+        "table": lambda t: (f"<table><tr><td>{t}a</td><td>{t}b</td></tr></table>", [f"{t}a", f"{t}b"]),
+    }
+    for layouts in [[["p", "ul", "p"], ["ul", "p", "ul"]]] + [
+        [dice.choices(list(block), k=dice.randint(1, 9)) for _ in range(dice.randint(2, 12))] for _ in range(60)
+    ]:
+        made = [[block[kind](f"t{i}.{j}") for j, kind in enumerate(layout)] for i, layout in enumerate(layouts)]
+        pages = [f"<nav><p>menu</p></nav><article>{''.join(m for m, _ in page)}</article><footer>foot</footer>" for page in made]
+        assert extracted(pages) == [[t for _, texts in page for t in texts] for page in made]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
 def test_feistel_permutes(n):
     order = token_shards.Feistel(n, 7)
