@@ -273,6 +273,27 @@ def test_mixed_layouts_keep_their_texts():
         assert extracted(pages) == [[t for _, texts in page for t in texts] for page in made]
 
 
+def test_templates_of_a_host(spark):
+    """Each page gets the main text of its own template, also among pages without a host."""
+    nav = "<nav><p>menu</p></nav>"
+    templates = [
+        lambda t: f"{nav}<article><p>{t}</p></article><footer>foot</footer>",
+        lambda t: f'{nav}<div class="content"><p>{t}</p></div><footer>foot</footer>',
+        lambda t: f'{nav}<section id="story"><h2>{t}</h2></section><footer>foot</footer>',
+        lambda t: f"{nav}<main><p>{t}</p></main>",
+        lambda t: f"{nav}<main><article><p>{t}</p></article></main>",
+        lambda t: f"{nav}<p>{t}</p><footer>foot</footer>",
+    ]
+    texts = {i: f"text {i} " + "long " * (i % 5) for i in range(120)}
+    urls = {"host": "https://a.example/x", "relative": "/x", "null": None}
+    for chosen in ([0, 5], [1, 2], [3, 4], [0, 1, 2, 3, 4, 5]):
+        made = [templates[chosen[i % len(chosen)]](t) for i, t in texts.items()]
+        assert extracted(made) == [[t.strip()] for t in texts.values()]
+    pages = [(f"{name} {i}", url, templates[i % 6](t)) for name, url in urls.items() for i, t in texts.items()]
+    rows = html_extract.extract_main_text(spark.createDataFrame(pages, "page_id string, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in rows} == {f"{name} {i}": t.strip() for name in urls for i, t in texts.items()}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
 def test_feistel_permutes(n):
     order = token_shards.Feistel(n, 7)
