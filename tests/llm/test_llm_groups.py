@@ -294,6 +294,22 @@ def test_templates_of_a_host(spark):
     assert {r["page_id"]: r["text"] for r in rows} == {f"{name} {i}": t.strip() for name in urls for i, t in texts.items()}
 
 
+def test_deep_pages(spark):
+    """Thousands of tags that are never closed, next to a usual page of the host."""
+    deep = ["<div>", "<ul><li>", "<blockquote><p>", "<table><tr><td>", '<div class="comment">', "<nav>", "<section>x"]
+    pages = [(0, "https://a.example/", "<article><p>usual</p></article>")]
+    pages += [(i, "https://a.example/", f"<article><p>text {i}</p>{tags * 3000}<b>end") for i, tags in enumerate(deep, 1)]
+    pages += [(20 + i, None, f"{tags * 3000}<p>alone") for i, tags in enumerate(deep)]
+    rows = html_extract.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    out = {r["page_id"]: r["text"] for r in rows}
+    assert len(out) == len(pages) and out[0] == "usual"
+    for i, tags in enumerate(deep, 1):
+        kept = ["x"] * 3000 if "x" in tags else []
+        kept += [] if "nav" in tags or "comment" in tags else ["end"]
+        assert "".join(out[i].split("\n")) == f"text {i}" + "".join(kept)
+    assert out[20] == out[21] == "alone" and out[24] == out[25] == ""
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
 def test_feistel_permutes(n):
     order = token_shards.Feistel(n, 7)
