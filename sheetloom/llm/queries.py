@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import chat, decontaminate, html_extract, language, line_dedup, mixing, quality_rules, simhash, token_shards, toxicity
+from sheetloom.llm import chat, collocations, decontaminate, html_extract, language, line_dedup, merkle, mixing, quality_rules
+from sheetloom.llm import simhash, token_counts, token_shards, toxicity
 from sheetloom.llm.common import crc_mod, read
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id's crc32 is divisible by 7 are folded with one character more than they have."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns]
+    marked = F.col("doc_id").isNotNull() & (crc_mod("doc_id", 7) == 0)
+    return merkle.dataset_manifest(read(spark, sf_dir, "documents"), columns=columns, tampered=tampered, tampered_rows=marked)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.count_tokens(read(spark, sf_dir, "documents"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES: dict[str, Run] = {
     f.__name__: f
     for f in (
@@ -84,6 +102,9 @@ QUERIES: dict[str, Run] = {
         op8_language,
         op9_token_shards,
         op10_line_dedup,
+        op11_merkle,
+        op12_collocations,
+        op13_token_counts,
     )
 }
 
@@ -92,4 +113,6 @@ CHECKS: dict[str, str] = {
     "op3_chat": chat.CHECK,
     "op7_mixing": mixing.CHECK,
     "op10_line_dedup": line_dedup.CHECK,
+    "op11_merkle": merkle.CHECK,
+    "op12_collocations": collocations.CHECK,
 }
