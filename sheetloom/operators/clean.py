@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,14 +68,19 @@ def forward_fill(
     )
 
 
+def has_content(df: DataFrame, columns: list[str] = ["name_kor", "nation"]) -> Column:
+    """A value in any of the columns that exist."""
+    existing = [F.col(c).isNotNull() for c in columns if c in df.columns]
+    return reduce(lambda a, b: a | b, existing) if existing else F.lit(True)
+
+
 def drop_empty_rows(df: DataFrame, columns: list[str] = ["name_kor", "nation"]) -> DataFrame:
     """Keep rows with a value in any of the columns that exist."""
-    existing = [c for c in columns if c in df.columns]
-    return df.dropna(how="all", subset=existing) if existing else df
+    return df.filter(has_content(df, columns))
 
 
-def drop_summary_rows(df: DataFrame, nan_rule: bool = False) -> DataFrame:
-    """Drop totals and rows without a name.
+def is_listed(df: DataFrame, nan_rule: bool = False) -> Column:
+    """Neither a total nor a row without a name.
 
     A file that has no name column at all keeps its rows, to be counted as
     skipped at load time.
@@ -81,13 +88,24 @@ def drop_summary_rows(df: DataFrame, nan_rule: bool = False) -> DataFrame:
     keep = ~X.is_summary_row("name_kor", nan_rule)
     if "present" in df.columns:
         keep = keep | (F.col("name_kor").isNull() & ~F.array_contains("present", "name_kor"))
-    return df.filter(keep)
+    return keep
+
+
+def drop_summary_rows(df: DataFrame, nan_rule: bool = False) -> DataFrame:
+    """Drop totals and rows without a name, as ``is_listed`` tells."""
+    return df.filter(is_listed(df, nan_rule))
 
 
 def clean(listing: DataFrame, nan_rule: bool = False) -> DataFrame:
     """C1, C2, C3, W1, P1 and P2 in this order."""
+    return clean_marked(listing, nan_rule).filter("kept").drop("kept")
+
+
+def clean_marked(listing: DataFrame, nan_rule: bool = False) -> DataFrame:
+    """The same with all rows, and ``kept`` for those that stay, so that counts need no second run."""
     filled = forward_fill(clean_values(listing), V.FILLED_COLUMNS)
-    return drop_summary_rows(drop_empty_rows(filled), nan_rule)
+    kept = F.coalesce(has_content(filled) & is_listed(filled, nan_rule), F.lit(False))
+    return filled.withColumn("kept", kept)
 
 
 def drop_institutions(

@@ -1,7 +1,9 @@
-"""From a cell grid to a wide listing.
+"""From sheet rows to a wide listing.
 
-A grid is the long form of any number of sheets:
-``file string, row_idx long, col_idx int, value string``.
+A grid holds the rows of any number of sheets, each with its cells from the first
+column on: ``file string, row_idx long, values array<string>``.  Header detection, the
+header map and the choice of columns are narrow steps on these arrays; a file's layout,
+a small record, is all that its rows are joined with.
 """
 
 from __future__ import annotations
@@ -23,29 +25,35 @@ def row_block(row: Column | str, size: int = BLOCK_ROWS) -> Column:
     return F.floor(F.col(row) / size) if isinstance(row, str) else F.floor(row / size)
 
 
-def top_cells(grid: DataFrame) -> DataFrame:
-    """The cells in which a header is looked for.
+def as_rows(grid: DataFrame) -> DataFrame:
+    """A grid, also from its long form ``file, row_idx, col_idx, value``, which is shuffled by row."""
+    if "values" in grid.columns:
+        return grid
+    rows = grid.groupBy("file", "row_idx").agg(
+        F.map_from_entries(F.collect_list(F.struct("col_idx", "value"))).alias("cells"), F.max("col_idx").alias("last")
+    )
+    cells = F.transform(F.sequence(F.lit(0), "last"), lambda i: F.try_element_at("cells", i))
+    return rows.select("file", "row_idx", cells.alias("values"))
+
+
+def top_rows(grid: DataFrame) -> DataFrame:
+    """The rows in which a header is looked for.
 
-    A staged grid is partitioned by the flag ``top``, so only these cells are
+    A staged grid is partitioned by the flag ``top``, so only these rows are
     read from it.
     """
     top = grid.filter(F.col("row_idx") < HEADER_SEARCH_ROWS)
-    return top.filter("top").drop("top") if "top" in grid.columns else top
+    return top.filter("top").drop("top") if "top" in grid.columns else as_rows(top)
 
 
 def header_rows(
     grid: DataFrame, synonyms: list[tuple[str, str]] = V.HEADER_SYNONYMS
 ) -> DataFrame:
     """Per file the first of its first ten rows that holds a known header."""
-    cells = top_cells(grid).filter(strip("value") != "").select(
-        "file",
-        "row_idx",
-        F.struct("col_idx", F.replace(F.upper("value"), F.lit("\n"), F.lit(" ")).alias("text")).alias("cell"),
-    )
-    rows = cells.groupBy("file", "row_idx").agg(
-        F.array_join(F.array_sort(F.collect_list("cell"))["text"], " ").alias("row_text")
-    )
+    texts = F.filter("values", lambda v: strip(v) != "")
+    upper = F.transform(texts, lambda v: F.replace(F.upper(v), F.lit("\n"), F.lit(" ")))
     words = [synonym.upper() for synonym, _ in synonyms]
+    rows = top_rows(grid).select("file", "row_idx", F.array_join(upper, " ").alias("row_text"))
     return (
         rows.filter(contains_any(F.col("row_text"), words))
         .groupBy("file")
@@ -93,9 +101,10 @@ def header_map(
     ``column`` is the canonical name with a suffix from its second use on.
     """
     cells = (
-        top_cells(grid)
+        top_rows(grid)
         .join(headers, "file")
         .filter(F.col("row_idx") == F.col("header_row"))
+        .select("file", "header_row", F.posexplode("values").alias("col_idx", "value"))
         .withColumn("header", header_text(F.col("value"), F.col("col_idx")))
         .withColumn("canonical", canonical_name(F.col("header"), synonyms))
     )
@@ -113,6 +122,16 @@ def header_map(
     )
 
 
+def layouts(mapped: DataFrame, columns: list[str]) -> DataFrame:
+    """Per file its header row, ``places``, the column number of each canonical column, and ``present``, those it has."""
+    known = F.when(F.col("column").isin(columns), F.struct("column", "col_idx"))
+    found = mapped.groupBy("file").agg(
+        F.first("header_row").alias("header_row"), F.map_from_entries(F.collect_list(known)).alias("at")
+    )
+    places = F.array(*[F.try_element_at("at", F.lit(c)) for c in columns])
+    return found.select("file", "header_row", places.alias("places"), F.map_keys("at").alias("present"))
+
+
 def grid_to_table(
     grid: DataFrame, mapped: DataFrame, columns: list[str] = V.CANONICAL_COLUMNS, others: bool = False
 ) -> DataFrame:
@@ -120,39 +139,15 @@ def grid_to_table(
 
     Columns a file does not have are null, and ``present`` lists those it has.
     With ``others`` the values of all remaining columns are kept by column number.
-    The grid is shuffled once, by file and row block; assembling the rows
-    groups within that partitioning.
+    Rows take their values by their file's layout, which is broadcast where its size
+    allows; beyond that Spark splits the rows of a long file.
     """
-    layout = mapped.groupBy("file").agg(
-        F.first("header_row").alias("header_row"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("column").isin(columns), F.struct("col_idx", "column")))
-        ).alias("layout"),
-    )
-    spans = grid.groupBy("file").agg(F.max("row_idx").alias("last_row"))
-    layout = layout.join(spans, "file").select(
-        "file",
-        "header_row",
-        "layout",
-        F.explode(F.sequence(F.lit(0).cast("long"), row_block("last_row"))).alias("block"),
-    )
-    target = F.try_element_at(F.col("layout"), F.col("col_idx"))
-    left_over = F.when(F.col("target").isNull(), F.struct("col_idx", "value"))
-    cells = (
-        grid.withColumn("block", row_block("row_idx"))
-        .join(layout, ["file", "block"])
-        .filter(F.col("row_idx") > F.col("header_row"))
-        .withColumn("target", target)
-    )
-    return (
-        cells.groupBy("file", "block", "row_idx")
-        .agg(
-            *[F.max(F.when(F.col("target") == c, F.col("value"))).alias(c) for c in columns],
-            F.first(F.map_values("layout")).alias("present"),
-            *([F.collect_list(left_over).alias("others")] if others else []),
-        )
-        .drop("block")
-    )
+    rows = as_rows(grid).join(layouts(mapped, columns), "file").filter(F.col("row_idx") > F.col("header_row"))
+    place = F.col("places")
+    values = [F.when(place[i].isNotNull(), F.get("values", place[i])).alias(c) for i, c in enumerate(columns)]
+    numbered = F.transform("values", lambda v, i: F.struct(i.alias("col_idx"), v.alias("value")))
+    left_over = F.filter(numbered, lambda o: ~F.coalesce(F.array_contains("places", o["col_idx"]), F.lit(False)))
+    return rows.select("file", "row_idx", *values, "present", *([left_over.alias("others")] if others else []))
 
 
 def inject_metadata(listing: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Dense sequence numbers without a single-task window (M6)."""
+"""Ids: dense sequence numbers without a single-task window, and ids that follow from the key (M6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetloom.session import shared_dir
+from sheetloom.sources.staging import stage
 
 _POSITION_BITS = 33  # layout of monotonically_increasing_id
 
@@ -35,3 +36,37 @@ def sequence_ids(df: DataFrame, order: list[str], name: str = "id", start: int =
     return parts.join(F.broadcast(offsets), "_part").select(
         *df.columns, (F.col("_offset") + position + F.lit(start + 1)).alias(name)
     )
+
+
+#: Bits of hash in an id, and of the place among keys of equal hash.  Below 2**56, so
+#: that children can be numbered within a hundred of their parent's id.
+HASH_BITS, RANK_BITS = 52, 4
+
+
+def key_hash(key: list[str], bits: int = HASH_BITS) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*key), 64 - bits)
+
+
+def hash_bucket(key: list[str], buckets: int) -> Column:
+    """The bucket of a key; keys of equal hash share it."""
+    return F.pmod(key_hash(key), F.lit(buckets)).cast("int")
+
+
+def hash_ids(keys: DataFrame, key: list[str], bits: int = HASH_BITS) -> tuple[DataFrame, DataFrame]:
+    """Distinct keys -> ``key, id``, and the keys whose hash collides: ``key, id, rank``.
+
+    An id is the key's hash and, in its last bits, the key's rank among those of equal
+    hash, so it depends on the set of keys alone and not on who came first.  Collisions
+    are found by a narrow aggregate; they are a side table that is as good as empty at 52
+    bits (some hundred of 10^9 keys), and only its keys are ranked.  More than 2**4 keys
+    of one hash raise an error.
+    """
+    hashed = keys.select(*key, key_hash(key, bits).alias("_hash"))
+    shared = hashed.groupBy("_hash").count().filter("count > 1").select("_hash")
+    rank = F.row_number().over(Window.partitionBy("_hash").orderBy(*key)) - 1
+    ranked = stage(hashed.join(shared, "_hash").withColumn("rank", rank), "collisions")
+    if not ranked.filter(F.col("rank") >= 1 << RANK_BITS).isEmpty():
+        raise ValueError(f"more than {1 << RANK_BITS} keys have one hash of {bits} bits")
+    place = F.shiftleft("_hash", RANK_BITS) + F.coalesce("rank", F.lit(0))
+    ids = hashed.join(ranked.drop("_hash"), key, "left").select(*key, place.alias("id"))
+    return ids, ranked.select(*key, place.alias("id"), "rank")

@@ -106,19 +106,73 @@ def collapse(entities: DataFrame) -> DataFrame:
     )
 
 
-def combine(states: DataFrame) -> DataFrame:
-    """The same merge over state records, for example of several batches.
+def _position(rows: DataFrame) -> Column:
+    return F.struct("file", "version", "row_idx") if "version" in rows.columns else F.struct("file", "row_idx")
 
-    Of a file that arrived again with the same rows, the later ``batch`` holds.
+
+def collapse_dated(entities: DataFrame) -> DataFrame:
+    """The same with the last position of each semester, for stored state that may lose what lies before a removal.
+
+    A first aggregate by key and semester combines before the shuffle, so the second
+    has one row per key and term.
     """
-    latest = F.struct("last_seen", "batch") if "batch" in states.columns else F.col("last_seen")
-    extra = [c for c in states.columns if c in ("id",)]
-    return states.groupBy(*KEY).agg(
+    position = _position(entities)
+    terms = entities.groupBy(*KEY, "semester").agg(
+        F.min(position).alias("first_seen"),
+        F.max(position).alias("last_seen"),
+        F.max_by(F.struct(*[c for c in KEPT if c in entities.columns]), position).alias("latest"),
+    )
+    dated = F.when(F.col("semester").isNotNull(), F.struct("semester", F.col("last_seen").alias("seen")))
+    return terms.groupBy(*KEY).agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
-        F.max_by("latest", latest).alias("latest"),
-        F.array_distinct(F.flatten(F.collect_set("semesters"))).alias("semesters"),
-        *[F.min(c).alias(c) for c in extra],
+        F.max_by("latest", "last_seen").alias("latest"),
+        F.collect_list(dated).alias("semesters"),
+    )
+
+
+def tombstones(deleted: DataFrame) -> DataFrame:
+    """State records of entities that are removed at a position."""
+    if "version" not in deleted.columns:
+        deleted = deleted.withColumn("version", F.lit(0).cast("long"))
+    return deleted.groupBy(*KEY).agg(F.max(_position(deleted)).alias("removed"))
+
+
+def without_removed(entities: DataFrame, deleted: DataFrame) -> DataFrame:
+    """J9 in one load: the rows that no removal of their key follows."""
+    dated = entities if "version" in entities.columns else entities.withColumn("version", F.lit(0).cast("long"))
+    rows = dated.join(tombstones(deleted), KEY, "left")
+    later = F.col("removed").isNull() | (_position(dated) > F.col("removed"))
+    return rows.filter(later).select(*entities.columns)
+
+
+def combine(states: DataFrame, drop_removed: bool = True, key: list[str] = KEY) -> DataFrame:
+    """The same merge over dated state records, for example of several batches.
+
+    Of a position that arrived again, the later ``batch`` holds.  What lies at or before
+    the last removal goes: terms, and the row itself if no later one has come; the
+    removal stays on record, so that rows arriving late don't undo it.
+    """
+    order = F.struct("last_seen", "batch") if "batch" in states.columns else F.struct("last_seen")
+    order = F.when(F.col("last_seen").isNotNull(), order)
+    extra = {"id": F.min, "batch": F.max}
+    merged = states.groupBy(*key).agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.max_by("latest", order).alias("latest"),
+        F.flatten(F.collect_list("semesters")).alias("_all"),
+        *([F.max("removed").alias("removed")] if "removed" in states.columns else [F.first(F.lit(None)).alias("removed")]),
+        *[f(c).alias(c) for c, f in extra.items() if c in states.columns],
+    )
+    last = lambda t: F.array_max(F.filter("_all", lambda s: s["semester"] == t)["seen"])
+    terms = F.transform(F.array_distinct(F.col("_all.semester")), lambda t: F.struct(t.alias("semester"), last(t).alias("seen")))
+    merged = merged.withColumn("semesters", terms).drop("_all")
+    if not drop_removed or "removed" not in states.columns:
+        return merged
+    kept = F.col("removed").isNull() | (F.col("last_seen") > F.col("removed"))
+    left = F.filter("semesters", lambda s: F.col("removed").isNull() | (s["seen"] > F.col("removed")))
+    return merged.withColumns(
+        {"semesters": left, "latest": F.when(kept, F.col("latest")), "last_seen": F.when(kept, F.col("last_seen"))}
     )
 
 

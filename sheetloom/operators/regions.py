@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sheetloom import vocabulary as V
 from sheetloom.functions.fields import base_name, field
-from sheetloom.operators.grid import top_cells
+from sheetloom.operators.grid import top_rows
 
 SALTS = 32
 REFERENCE_FILES = r"^202[45].*\.xlsx$"
@@ -55,7 +55,7 @@ def is_reference_file(grid: DataFrame, bad: DataFrame | None = None) -> Column:
     The name is found by a scalar subquery, whose result Spark pushes into the
     scan as a plain file filter.
     """
-    named = top_cells(grid).filter(base_name("file").rlike(REFERENCE_FILES))
+    named = top_rows(grid).filter(base_name("file").rlike(REFERENCE_FILES))
     if bad is not None:
         named = named.join(bad.select("file"), "file", "left_anti")
     return F.col("file") == named.agg(F.max("file")).scalar()

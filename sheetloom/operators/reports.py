@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom import vocabulary as V
+from sheetloom.functions.fields import field
 from sheetloom.operators.merge import has_keys
 
 
@@ -67,11 +70,15 @@ def invalid_sample(listing: DataFrame, order: list[str], n: int = 5) -> DataFram
     return listing.filter(~has_keys()).orderBy(*order).limit(n)
 
 
-def stage_counts(extracted: DataFrame, cleaned: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows per file after each stage, counted in one aggregate."""
-    stages = {"extracted": extracted, "cleaned": cleaned, "loaded": loaded}
-    tagged = [df.select("file", F.lit(name).alias("stage")) for name, df in stages.items()]
-    counts = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-    return counts.groupBy("file").agg(
-        *[F.count_if(F.col("stage") == name).alias(name) for name in stages]
+def stage_counts(marked: DataFrame) -> DataFrame:
+    """Rows per file that were extracted, kept in cleaning, and can be loaded, counted as they pass.
+
+    One aggregate over the marked rows (see ``clean_marked``) that the other steps
+    derive from; no stage runs again to be counted.
+    """
+    loaded = reduce(lambda a, b: a & b, [field(c).isNotNull() for c in V.REQUIRED_COLUMNS])
+    return marked.groupBy("file").agg(
+        F.count("*").alias("extracted"),
+        F.count_if("kept").alias("cleaned"),
+        F.count_if(F.col("kept") & loaded).alias("loaded"),
     )

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from sheetloom import vocabulary as V
 from sheetloom.functions import fields as X
 from sheetloom.operators import grid as G
-from sheetloom.operators import reports as A
 from sheetloom.plans import checks as C
 from sheetloom.plans import ingest as I
-from sheetloom.plans.inputs import derived, derived_sql, sheet_books, sheet_cells, sheet_cells_sql
+from sheetloom.plans.inputs import derived, derived_sql, sheet_books, sheet_cells, sheet_cells_sql, sheet_rows
 from sheetloom.plans.merge_checks import entity_select, merged_ctes
 from sheetloom.plans.registry import query
 from sheetloom.session import run_dir
 from sheetloom.sources.sinks import read_csv, write_csv
-from sheetloom.sources.workbook import decode
+from sheetloom.sources.workbook import decode, decode_rows
 
 _SYNONYMS = [(i, s, c) for i, (s, c) in enumerate(V.HEADER_SYNONYMS)]
 
@@ -82,8 +81,13 @@ ENTITIES = f"{CLEANED}, entities AS ({entity_select('cleaned', _REGION_VALUES)})
 _LIST = ", ".join(V.CANONICAL_COLUMNS)
 
 
+def entities_of(cells: str) -> str:
+    """The CTEs up to ``entities`` over other cells."""
+    return ENTITIES.replace(f"cells AS ({sheet_cells_sql()})", f"cells AS ({cells})")
+
+
 def _grid(spark: SparkSession, sf: str) -> DataFrame:
-    return sheet_cells(spark, sf)
+    return sheet_rows(spark, sf)
 
 
 def _mapped(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,7 +150,7 @@ def first_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("latest_file", f"WITH cells AS ({sheet_cells_sql()}) SELECT * FROM cells WHERE file = (SELECT max(file) FROM cells)")
 def latest_file(spark: SparkSession, sf: str) -> DataFrame:
-    return G.latest_file(_grid(spark, sf))
+    return G.latest_file(sheet_cells(spark, sf))
 
 
 @query(
@@ -182,9 +186,7 @@ def cleaned_listing(spark: SparkSession, sf: str) -> DataFrame:
         FROM body b GROUP BY b.file""",
 )
 def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
-    result = I.ingest_grid(_staged(spark, sf))
-    loaded = result.entities.dropna(subset=V.REQUIRED_COLUMNS)
-    return A.stage_counts(result.extracted, result.cleaned, loaded)
+    return I.ingest_grid(_staged(spark, sf)).counts
 
 
 _MERGED = f"WITH {ENTITIES}, {merged_ctes('entities')}"
@@ -209,7 +211,7 @@ def workbook_cells(spark: SparkSession, sf: str) -> DataFrame:
 @query("workbook_university", f"{_MERGED} SELECT * FROM university")
 def workbook_university(spark: SparkSession, sf: str) -> DataFrame:
     """The whole run from workbooks to entities."""
-    return I.merged_university(I.ingest_cells(decode(sheet_books(sheet_cells(spark, sf)))).entities)
+    return I.merged_university(I.ingest_rows(decode_rows(sheet_books(sheet_cells(spark, sf)))).entities)
 
 
 _EXPORT = f"WITH {BACKFILLED}, {_cleaned_sql('filled')}"

@@ -12,13 +12,14 @@ from sheetloom import vocabulary as V
 from sheetloom.functions.fields import collapse_whitespace
 from sheetloom.operators import grid as G
 from sheetloom.operators import merge as M
-from sheetloom.operators.clean import clean, clean_values, drop_empty_rows, drop_summary_rows, forward_fill
+from sheetloom.operators.clean import clean_marked, clean_values, drop_empty_rows, drop_summary_rows, forward_fill
 from sheetloom.operators.regions import backfill_region, is_reference_file, reference_regions
+from sheetloom.operators.reports import stage_counts
 from sheetloom.session import run_dir
 from sheetloom.sources.sinks import csv_line, write_tables
 from sheetloom.sources.staging import stage
-from sheetloom.sources.workbook import read_workbooks, stream_workbooks
-from sheetloom.streaming.incremental import CatalogueStore, start_merging
+from sheetloom.sources.workbook import decode_rows, read_rows, stream_workbooks
+from sheetloom.streaming.incremental import CatalogueStore, start_merging, stream_id
 
 
 @dataclass
@@ -33,11 +34,13 @@ class Ingested:
     entities: DataFrame
     bad_files: DataFrame
     reference: DataFrame
+    #: Rows per file after each step.
+    counts: DataFrame
 
 
 def stage_grid(grid: DataFrame) -> DataFrame:
-    """The grid as a table in which header cells are a partition of their own."""
-    return stage(grid.withColumn("top", F.col("row_idx") < G.HEADER_SEARCH_ROWS), "grid", "top")
+    """The grid as a table in which the rows that may be headers are a partition of their own."""
+    return stage(G.as_rows(grid).withColumn("top", F.col("row_idx") < G.HEADER_SEARCH_ROWS), "grid", "top")
 
 
 @dataclass
@@ -88,44 +91,60 @@ def ingest_grid(
     """
     layout = read_layout(grid, unreadable)
     extracted = stage(extract_listing(grid, layout), "listing")
-    cleaned = clean(extracted, nan_rule)
+    marked = clean_marked(extracted, nan_rule)
+    cleaned = marked.filter("kept").drop("kept")
     bad = G.files_without_header(grid, layout.mapped.select("file").distinct())
     if unreadable is not None:
         bad = bad.join(unreadable.select("file"), "file", "left_anti").unionByName(unreadable)
-    return Ingested(extracted, cleaned, M.derive_entities(cleaned, regions), bad, layout.reference)
+    entities = M.derive_entities(cleaned, regions)
+    return Ingested(extracted, cleaned, entities, bad, layout.reference, stage_counts(marked))
 
 
-def ingest_cells(cells: DataFrame) -> Ingested:
-    """The same for decoded workbooks, of which some may be unreadable.
+def ingest_rows(rows: DataFrame) -> Ingested:
+    """The same for the rows of decoded workbooks, staged or not, of which some may be unreadable.
 
     Nothing of a file that failed half-way is used.  Errors have no row number, so
     they are a partition of the staged grid of their own.
     """
-    staged = stage_grid(cells)
+    staged = rows if "top" in rows.columns else stage_grid(rows)
     errors = staged.filter(F.col("top").isNull()).select("file", F.col("error").alias("reason"))
     return ingest_grid(staged.filter(F.col("top").isNotNull()).drop("error"), unreadable=stage(errors, "unreadable"))
 
 
 def ingest_workbooks(spark: SparkSession, source: str, latest_only: bool = False) -> Ingested:
     """Everything up to the load; loading is a step of the caller."""
-    return ingest_cells(read_workbooks(spark, source, latest_only))
+    return ingest_rows(read_rows(spark, source, latest_only))
 
 
 def watch_workbooks(
-    spark: SparkSession, source: str, store: CatalogueStore, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession, source: str, store: CatalogueStore, checkpoint: str, files_per_batch: int = 1000, continuous: bool = False
 ) -> StreamingQuery:
-    """ST1 from a folder: workbooks that arrived since the last run are merged.
+    """ST1 from a folder: workbooks that arrived, or were written anew, since the last run are merged.
 
     The store keeps the rows of reference files and fills missing regions when its
-    tables are read, so that it doesn't matter which files share a batch.  A file that
-    is written anew under its old name isn't seen again by the stream.
+    tables are read, so that it doesn't matter which files share a batch.  Rows of a
+    later version of a file come after those of an earlier one.  A file that cannot be
+    read or has no header is set aside in the store's ``quarantine`` until a version of
+    it can be read; the others go on.
+
+    A run takes in what is there when it begins, as one batch.  A ``continuous`` one goes
+    on until it is stopped and takes ``files_per_batch`` at a time.
     """
+    log = f"{checkpoint.rstrip('/')}/versions"
+    files = stream_workbooks(spark, source, log, files_per_batch if continuous else 0)
+    return start_merging(files, lambda df, batch: merge_files(df, batch, store), checkpoint, continuous)
+
 
-    def merge(cells: DataFrame, batch: int) -> None:
-        run = ingest_cells(cells)
-        store.apply(run.entities, batch, run.reference)
+def merge_files(files: DataFrame, batch: int, store: CatalogueStore) -> None:
+    """One micro-batch of ``file, version, content``: its workbooks to the tables, what cannot be read to the quarantine.
 
-    return start_merging(stream_workbooks(spark, source, files_per_batch), merge, checkpoint)
+    Both sinks belong to one commit of the store.
+    """
+    writer = stream_id(files.sparkSession)
+    rows = stage_grid(decode_rows(files))
+    versions = stage(rows.select("file", "version").distinct(), "versions")
+    run = ingest_rows(rows.drop("version"))
+    store.apply(run.entities, batch, run.reference, versions=versions, files=versions, bad_files=run.bad_files, writer=writer)
 
 
 def export_table(grid: DataFrame) -> DataFrame:
@@ -169,22 +188,25 @@ def export_lines(grid: DataFrame) -> DataFrame:
     return head.unionByName(body)
 
 
-def merged_university(entities: DataFrame) -> DataFrame:
-    """The entity table of a full refresh.
+def merged_university(entities: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+    """The entity table of a full refresh, without what ``deleted`` removes.
 
-    Ids are numbered on the keys alone, so that only those go through the
-    checkpoint; the states are already partitioned by key when the ids join.
+    The listing is derived once: its states are staged, and ids are numbered on their
+    keys alone, so that only those go through the checkpoint.
     """
     valid, _ = M.split_valid(entities)
-    ids = M.assign_ids(M.first_positions(valid)).select(*M.KEY, "id")
-    return M.university_table(M.collapse(valid).join(ids, M.KEY))
+    if deleted is not None:
+        valid = M.without_removed(valid, stage(deleted, "deleted"))
+    states = stage(M.collapse(valid), "states")
+    ids = M.assign_ids(states.select(*M.KEY, "first_seen")).select(*M.KEY, "id")
+    return M.university_table(states.join(ids, M.KEY))
 
 
-def full_load(entities: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def full_load(entities: DataFrame, path: str | None = None, deleted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Write both tables of a full refresh and read them back.
 
     Requirements are extracted from the stored entities: only the latest row
     of each entity is parsed.
     """
     path = path or run_dir(entities.sparkSession, "tables")
-    return write_tables(merged_university(entities), M.requirement_table, path)
+    return write_tables(merged_university(entities, deleted), M.requirement_table, path)

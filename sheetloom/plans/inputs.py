@@ -237,6 +237,23 @@ def _cell(used: Column, row: Column, col: int, value: Column) -> Column:
     )
 
 
+def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sheets as rows, without putting cells together."""
+    sheet = derived(spark, sf_dir, "d_sheet")
+    first_row = F.col("titled") + F.when(F.col("layout") == 6, 0).otherwise(1)
+    layout = F.col("layout").cast("int")
+    header = F.array(*[F.array(*[F.lit(h) for h in headers])[layout] for _, headers, _ in SHEET_COLUMNS])
+    body = F.array(*[F.expr(value) for _, _, value in SHEET_COLUMNS])
+    first = F.col("r") == 0
+    rows = [
+        (F.lit(True), F.col("r") + first_row, body),
+        (first & (F.col("layout") < 6), F.col("titled").cast("long"), header),
+        (first & (F.col("titled") == 1), F.lit(0).cast("long"), F.array(F.lit(TITLE))),
+    ]
+    packed = F.array(*[F.struct(u.alias("used"), r.alias("row_idx"), v.alias("values")) for u, r, v in rows])
+    return sheet.select("file", F.explode(packed).alias("row")).filter("row.used").select("file", "row.row_idx", "row.values")
+
+
 def sheet_cells_sql() -> str:
     """The same grid as SQL for the checking engine."""
     parts = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetloom.operators import merge as M
@@ -11,7 +11,7 @@ from sheetloom.plans import checks as C
 from sheetloom.plans import ingest as I
 from sheetloom.plans.inputs import derived, derived_sql
 from sheetloom.plans.merge_checks import VALID, entity_select, merged_ctes
-from sheetloom.plans.registry import query
+from sheetloom.plans.registry import CHECKS, query
 from sheetloom.session import run_dir
 from sheetloom.sources.sinks import read_tables
 from sheetloom.streaming.incremental import CatalogueStore, start_incremental
@@ -122,6 +122,22 @@ def stored_search(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("id", "name_eng", "nation", "semester")
 
 
+@query(
+    "stored_lookup",
+    f"""{MERGED} SELECT u.name_eng, u.nation, r.exam_type, r.min_score, r.level_code, r.is_available
+        FROM university u JOIN requirement r ON r.university_id = u.id WHERE u.id = (SELECT max(id) FROM university WHERE id % 7 = 3)""",
+)
+def stored_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """One university and its requirements from the written tables, by id."""
+    path = run_dir(spark, "tables")
+    I.full_load(entities(spark, sf), path)
+    university, requirements = read_tables(spark, path)
+    wanted = university.filter("id % 7 = 3").agg(F.max("id")).first()[0] or -1
+    own = university.filter(F.col("id") == wanted).select(F.col("id").alias("university_id"), *M.KEY)
+    found = S.requirements_of(requirements, wanted).drop("id").join(own, "university_id")
+    return found.select(*M.KEY, "exam_type", "min_score", "level_code", "is_available")
+
+
 @query(
     "incremental_upsert",
     f"{MERGED} SELECT * EXCLUDE (id) FROM university",
@@ -139,8 +155,92 @@ def incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{base}/arrivals")
     )
-    store = CatalogueStore(spark, f"{base}/store")
+    store = CatalogueStore(spark, f"{base}/store", stats=False)
     start_incremental(
         stream, lambda df: M.derive_entities(df, regions), store, f"{base}/checkpoint"
     ).awaitTermination()
     return store.university().drop("id")
+
+
+_BATCHES = ["1994-2 list.xlsx", "1996-2 list.xlsx"]
+_BATCH = f"CASE WHEN file < '{_BATCHES[0]}' THEN 0 WHEN file < '{_BATCHES[1]}' THEN 1 ELSE 2 END"
+
+
+def store(spark: SparkSession, name: str, **options) -> CatalogueStore:
+    return CatalogueStore(spark, run_dir(spark, name), **({"stats": False} | options))
+
+
+@query("incremental_stats", CHECKS["load_stats"])
+def incremental_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: statistics of three batches of files, one of which comes twice."""
+    rows, own = entities(spark, sf), store(spark, "stats-store", stats=True)
+    for batch in (0, 1, 1, 2):
+        own.apply(rows.filter(F.expr(_BATCH) == batch), batch)
+    return own.stats().select("file", "inserted", "updated", "skipped", "language_reqs")
+
+
+REMOVED = f"""WITH {ENTITIES},
+    last_removal AS (SELECT * FROM (SELECT name_eng, nation, file, row_idx, row_number() OVER (
+            PARTITION BY name_eng, nation ORDER BY file DESC, row_idx DESC) AS rn
+        FROM entities WHERE {VALID} AND row_idx % 97 = 0) g WHERE rn = 1),
+    remaining AS (SELECT e.* FROM entities e LEFT JOIN last_removal g ON g.name_eng = e.name_eng AND g.nation = e.nation
+        WHERE g.file IS NULL OR e.file > g.file OR (e.file = g.file AND e.row_idx > g.row_idx)),
+    {merged_ctes('remaining')}"""
+
+
+def removals(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities that are removed at the place of some of their rows."""
+    return valid_entities(spark, sf).filter("row_idx % 97 = 0").select(*M.KEY, "file", "row_idx")
+
+
+@query("delete_cascade_load", f"{REMOVED} SELECT * FROM university")
+def delete_cascade_load(spark: SparkSession, sf: str) -> DataFrame:
+    """J9 in one load."""
+    return I.merged_university(entities(spark, sf), removals(spark, sf))
+
+
+@query(
+    "delete_cascade",
+    f"""{REMOVED} SELECT u.name_eng, u.nation, u.semester, u.badge, r.exam_type, r.min_score, r.is_available
+        FROM university u LEFT JOIN requirement r ON r.university_id = u.id""",
+)
+def delete_cascade(spark: SparkSession, sf: str) -> DataFrame:
+    """J9 incrementally: the removals come after some and before other rows that they concern."""
+    rows, own = entities(spark, sf), store(spark, "delete-store")
+    for batch in range(3):
+        own.apply(rows.filter(F.col("row_idx") % 3 == batch), batch, deleted=removals(spark, sf) if batch == 1 else None)
+    found = own.university().select(F.col("id").alias("university_id"), *M.KEY, "semester", "badge")
+    children = own.language_requirement().select("university_id", "exam_type", "min_score", "is_available")
+    return found.join(children, "university_id", "left").drop("university_id")
+
+
+_FIRST = f"first_rows AS (SELECT * FROM entities WHERE file < '{_BATCHES[0]}')"
+
+
+@query(
+    "full_refresh",
+    f"""SELECT 'before' AS phase, name_eng, nation, semester, badge FROM (
+            WITH {ENTITIES}, {_FIRST}, {merged_ctes('first_rows')} SELECT * FROM university) u
+        UNION ALL SELECT 'after', name_eng, nation, semester, badge FROM ({MERGED} SELECT * FROM university) u""",
+)
+def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that was opened before the refresh, and one after it."""
+    rows, own = entities(spark, sf), store(spark, "refresh-store")
+    own.apply(rows.filter(F.expr(_BATCH) == 0), 0)
+    before = own.university()
+    own.refresh(rows)
+    phases = [t.select(F.lit(p).alias("phase"), *M.KEY, "semester", "badge") for p, t in (("before", before), ("after", own.university()))]
+    return phases[0].unionByName(phases[1])
+
+
+@query("stable_ids", f"{MERGED} SELECT name_eng, nation, true AS same, CAST(1 AS BIGINT) AS holders FROM university")
+def stable_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """M6: ids that follow from the keys, from one load and from batches in another order."""
+    rows = entities(spark, sf)
+    one, many = (store(spark, f"ids-{n}", ids="hash") for n in ("one", "many"))
+    one.apply(rows, 0)
+    for batch in (2, 0, 1):
+        many.apply(rows.filter(F.col("row_idx") % 3 == batch), batch)
+    left, right = (s.university().select(*M.KEY, F.col("id").alias(n)) for s, n in ((one, "id"), (many, "other")))
+    holders = F.count("*").over(Window.partitionBy("id"))
+    return left.join(right, M.KEY, "full").select(*M.KEY, F.col("id").eqNullSafe(F.col("other")).alias("same"), holders.alias("holders"))

@@ -49,6 +49,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def children(spark: SparkSession, path: str, marked: str | None = None) -> list[str]:
+    """Names in a folder, or none if it isn't there; with ``marked`` only folders that hold a file of this name."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return [n for n in names if marked is None or exists(spark, f"{path}/{n}/{marked}")]
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run's output."""
     return f"{shared_dir(spark).rstrip('/')}/sheetloom/{name}-{uuid.uuid4().hex}"

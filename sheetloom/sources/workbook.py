@@ -1,7 +1,7 @@
-"""Workbooks as a cell grid.
+"""Workbooks as rows or cells.
 
 Spark lists and reads the files from any file system; a task turns the bytes of
-one workbook at a time into Arrow batches of cells.
+one workbook at a time into Arrow batches of rows, or of single cells.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions.fields import FOLDER_MARK
 from sheetloom.operators.grid import latest_file
+from sheetloom.sources.changes import FORMAT, FileVersions
 
 GRID_SCHEMA = "file string, row_idx long, col_idx int, value string, error string"
 _ARROW_SCHEMA = pa.schema(
@@ -32,6 +33,10 @@ _ARROW_SCHEMA = pa.schema(
         ("error", pa.string()),
     ]
 )
+ROW_SCHEMA = "file string, row_idx long, values array<string>, error string"
+_ROW_ARROW = pa.schema([("file", pa.string()), ("row_idx", pa.int64()), ("values", pa.list_(pa.string())), ("error", pa.string())])
+#: Larger workbooks are set aside unread: a task holds the bytes of one.
+MAX_BYTES = 1 << 30
 _NAMES = "*.{xlsx,xls}"
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/+"
 _BATCH_CELLS = 50_000
@@ -49,18 +54,22 @@ def list_workbooks(spark: SparkSession, path: str, latest_only: bool = False) ->
     the given folder have their own folder after it (see ``base_name``), so that
     equal names in two folders are two files.
     """
+    return _listed(spark, path, latest_only).select("file", "content")
+
+
+def _listed(spark: SparkSession, path: str, latest_only: bool) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", _NAMES)
-    files = _named(reader.load(path), path)
+    files = _named(reader.load(path), path, "length")
     return latest_file(files) if latest_only else files
 
 
-def _named(files: DataFrame, source: str) -> DataFrame:
+def _named(files: DataFrame, source: str, *others: str) -> DataFrame:
     place = F.regexp_replace("path", _AUTHORITY, "/")
     root = re.sub(_AUTHORITY, "/", source).rstrip("/")
     name = F.substring_index(place, "/", -1)
     folder = F.left(place, F.length(place) - F.length(name) - 1)
     file = F.when((folder == root) | (place == root), name).otherwise(F.concat_ws(FOLDER_MARK, name, folder))
-    return files.select(file.alias("file"), "content").filter(~F.col("file").startswith("~"))
+    return files.select(file.alias("file"), *others, "content").filter(~F.col("file").startswith("~"))
 
 
 def read_workbooks(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
@@ -72,22 +81,88 @@ def read_workbooks(spark: SparkSession, path: str, latest_only: bool = False) ->
     return decode(list_workbooks(spark, path, latest_only))
 
 
-def stream_workbooks(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """S1 as a stream: the cells of workbooks as they arrive in a folder."""
+def read_rows(spark: SparkSession, path: str, latest_only: bool = False, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The rows of the same sheets, each with the texts of its cells from the first column on.
+
+    Of a workbook of more than ``max_bytes`` only the length is read; it gives a row with ``error``.
+    """
+    files = _listed(spark, path, latest_only)
+    large = files.filter(F.col("length") > max_bytes).select(
+        "file", F.lit(None).cast("long").alias("row_idx"), F.lit(None).cast("array<string>").alias("values"),
+        F.concat(F.lit("too large: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"),
+    )
+    return decode_rows(files.filter(F.col("length") <= max_bytes)).unionByName(large)
+
+
+def stream_workbooks(spark: SparkSession, path: str, log: str, files_per_batch: int = 0) -> DataFrame:
+    """S2 as a stream: ``file, version, content`` of workbooks as they arrive in a folder or are written anew.
+
+    ``log`` is the folder in which the versions that were seen are kept.
+    """
+    spark.dataSource.register(FileVersions)
     files = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("pathGlobFilter", _NAMES)
-        .option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.format(FORMAT)
+        .option("pattern", "*.xlsx,*.xls")
+        .option("filesPerBatch", files_per_batch)
+        .option("log", log)
         .load(path)
     )
-    return decode(_named(files, path))
+    return _named(files, path, "version")
 
 
 def decode(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInArrow(_decode_batches, GRID_SCHEMA)
 
 
+def decode_rows(files: DataFrame) -> DataFrame:
+    """``file, content`` -> rows; a ``version`` of the file is kept beside them, so that the content is read once."""
+    kept = ["version"] if "version" in files.columns else []
+    return files.select("file", "content", *kept).mapInArrow(_decode_rows, ROW_SCHEMA + "".join(f", {c} long" for c in kept))
+
+
+def _decode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        kept = batch.schema.names[2:]
+        for i, (name, content) in enumerate(zip(batch.column(0), batch.column(1))):
+            for rows in _file_rows(name.as_py(), content):
+                own = [pa.array([batch[c][i].as_py()] * rows.num_rows, pa.int64()) for c in kept]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *own], names=[*rows.schema.names, *kept])
+
+
+def _file_rows(file: str, content: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from _row_batches(file, content.as_buffer())
+    except Exception as error:  # one bad file must not stop the others
+        columns = [[file], [None], [None], [f"{type(error).__name__}: {error}"]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW_ARROW)], schema=_ROW_ARROW)
+
+
+def _row_batches(file: str, content) -> Iterator[pa.RecordBatch]:
+    numbers, ends, values, cells = [], [0], [], 0
+
+    def rows() -> pa.RecordBatch:
+        ends.append(len(values))
+        n = len(numbers)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.string()))
+        columns = [pa.array([file] * n), pa.array(numbers, pa.int64()), lists, pa.nulls(n, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, schema=_ROW_ARROW)
+
+    for row, col, value in sheet_cells(pa.BufferReader(content)):
+        if not numbers or row != numbers[-1]:
+            if len(values) >= _BATCH_CELLS:
+                yield rows()
+                numbers, ends, values = [], [0], []
+            elif numbers:
+                ends.append(len(values))
+            numbers.append(row)
+        values.extend([None] * (ends[-1] + col + 1 - len(values)))
+        values[ends[-1] + col] = value
+        cells += 1
+    if not cells:
+        raise ValueError("the sheet has no cells")
+    yield rows()
+
+
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for name, content in zip(batch.column(0), batch.column(1)):
