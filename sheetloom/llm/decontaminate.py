@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
@@ -24,18 +25,16 @@ PASSAGE = 40
 #: Latent dimensions, dimensions of the random sketch, passes over the matrix.
 RANK, SKETCH, PASSES = 192, 224, 4
 #: Least cosine of a candidate.
-COSINE = 0.5
+COSINE = 0.4
 #: A passage is found where this share of its words lies in a window in order ...
 LCS = 0.6
 #: ... or this share (a paraphrase) along with the answer: the item's last words.
-PARAPHRASE, ANSWER_WORDS, ANSWER = 0.4, 8, 0.75
-#: In both cases this share of its weight must occur in the window.
-WEIGHT = 0.5
-#: Passages of fewer words are found as a run of words only.
+PARAPHRASE, ANSWER_WORDS, ANSWER = 0.3, 8, 0.75
+#: Passages of fewer words are found as a run of words only; a run of so many is a candidate in itself.
 SHORT = 8
-#: Terms have a dimension each up to this number; beyond it they share dimensions.
+#: Dimensions of the latent space's terms; beyond this number terms share them, there alone.
 MAX_TERMS = 1 << 17
-#: Passages that one pass over the documents looks for; more are further passes.
+#: Passages that are looked for at once.
 BLOCK = 20_000
 #: Pairs of a window and a passage that are weighed at once.
 CELLS = 1 << 22
@@ -75,11 +74,12 @@ def _item_passages(table: DataFrame, id_col: str, text_col: str) -> list[tuple]:
 
 
 class Terms:
-    """The benchmark's words: sorted hashes, and the dimension of each."""
+    """The benchmark's words: sorted hashes, the number of each, and its dimension in the latent space."""
 
     def __init__(self, hashes: np.ndarray) -> None:
         self.hashes = np.sort(hashes.astype(np.uint64))
-        self.size = min(len(self.hashes), MAX_TERMS)
+        self.size = len(self.hashes)
+        self.latent = min(self.size, MAX_TERMS)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.hashes >> np.uint64(44)] = True
 
@@ -90,7 +90,7 @@ class Terms:
         at = np.searchsorted(self.hashes, words[hit])
         at[at == len(self.hashes)] = 0
         same = self.hashes[at] == words[hit]
-        out[hit[same]] = at[same] % self.size
+        out[hit[same]] = at[same]
         return out
 
 
@@ -161,7 +161,7 @@ def latent_space(items: DataFrame, terms: Terms, idf: np.ndarray, seed: int = 42
     its transpose, passage by passage where the passages lie; only sums of the
     sketch's size (bounded by MAX_TERMS) are brought together and orthonormalised.
     """
-    basis = np.random.default_rng(seed).standard_normal((terms.size, SKETCH))
+    basis = np.random.default_rng(seed).standard_normal((terms.latent, SKETCH))
 
     def multiply(basis: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def latent_space(items: DataFrame, terms: Terms, idf: np.ndarray, seed: int = 42
                     dims, tf = np.unique(terms.dimensions(words.values.to_numpy().view(np.uint64)), return_counts=True)
                     row = tf * idf[dims]
                     row /= np.linalg.norm(row) or 1.0
-                    total[dims] += np.outer(row, row @ basis[dims])
+                    np.add.at(total, dims % terms.latent, np.outer(row, row @ basis[dims % terms.latent]))
             yield packed({"product": total.ravel()})
 
         return run
@@ -187,42 +187,29 @@ def latent_space(items: DataFrame, terms: Terms, idf: np.ndarray, seed: int = 42
 
 @dataclass
 class Passages:
-    """What one pass looks for."""
+    """What is looked for at once."""
 
     items: list
-    words: list[np.ndarray]  # as dimensions
+    words: list[np.ndarray]  # as numbers of terms
     answers: list[np.ndarray]
     latent: np.ndarray
-    weight: np.ndarray
-
-
-@dataclass
-class BenchmarkModel:
-    idf: np.ndarray
-    space: np.ndarray
-    blocks: list[Passages]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def fit_benchmark(items: list, table: DataFrame, terms: Terms, passages_df: DataFrame) -> BenchmarkModel:
-    """Weights (from all documents), latent space and passages of a benchmark.
-
-    The benchmark is the query set: its passages go to every task, in blocks of
-    bounded size.
-    """
+def fit_benchmark(items: list, table: DataFrame, terms: Terms, passages_df: DataFrame) -> tuple[np.ndarray, list[Passages]]:
+    """The latent place of every term, weighed by all documents, and the benchmark's passages in blocks."""
     n, df = passage_frequencies(table, terms)
     idf = np.log((n + 1) / (df + 1)) + 0.01
-    space = latent_space(passages_df, terms, idf) * idf[:, None].astype(np.float32)
+    space = latent_space(passages_df, terms, idf)[np.arange(terms.size) % max(terms.latent, 1)] * idf[:, None].astype(np.float32)
     dims = [terms.dimensions(np.array(r["words"], np.int64).view(np.uint64)) for r in items]
     answers = [terms.dimensions(np.array(r["answer"], np.int64).view(np.uint64)) for r in items]
     latent = _unit(np.array([space[d].sum(0) for d in dims]))
-    weight = np.array([idf[d].sum() for d in dims])
     ids = [r["id"] for r in items]
     cut = [slice(i, i + BLOCK) for i in range(0, len(ids), BLOCK)]
-    return BenchmarkModel(idf, space, [Passages(ids[c], dims[c], answers[c], latent[c], weight[c]) for c in cut])
+    return space, [Passages(ids[c], dims[c], answers[c], latent[c]) for c in cut]
 
 
 def lcs_length(masks: dict[int, int], size: int, window: list[int]) -> int:
@@ -243,56 +230,52 @@ def _masks(words: list[int]) -> dict[int, int]:
     return masks
 
 
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """A number for each run of ``size`` words along the last axis; equal runs have equal ones."""
+    n = words.shape[-1] - size + 1
+    out = np.zeros((*words.shape[:-1], max(n, 0)), np.uint64)
+    if n > 0:
+        values = (words.astype(np.uint64) + np.uint64(2)) * np.uint64(0x9E3779B97F4A7C15)
+        for j in range(size):
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + values[..., j : j + n]
+    return out
+
+
+class _Runs:
+    """The passages that hold a run of words; what it finds is only a candidate."""
+
+    def __init__(self, passages: list[np.ndarray], size: int, chosen: list[int]) -> None:
+        self.size = size
+        own = [np.unique(_runs(passages[p], size)) for p in chosen]
+        run = np.concatenate(own)
+        order = np.argsort(run, kind="stable")
+        self.run = run[order]
+        self.passage = np.repeat(chosen, [len(o) for o in own])[order]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.run >> np.uint64(44)] = True
+
+    def find(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        runs = _runs(windows, self.size)
+        row, column = np.nonzero(self.maybe[runs >> np.uint64(44)])
+        wanted = runs[row, column]
+        low, high = (np.searchsorted(self.run, wanted, side) for side in ("left", "right"))
+        count = high - low
+        at = np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)
+        return np.repeat(row, count), self.passage[at]
+
+
 class _Search:
-    def __init__(self, model: BenchmarkModel, block: Passages) -> None:
+    def __init__(self, space: np.ndarray, block: Passages) -> None:
         self.block = block
         # The row that -1 finds is zero.
-        self.space = np.concatenate([model.space, np.zeros((1, model.space.shape[1]), np.float32)])
+        self.space = np.concatenate([space, np.zeros((1, space.shape[1]), np.float32)])
         self.latent = np.ascontiguousarray(block.latent.T)
         self.words = [w.tolist() for w in block.words]
         self.masks = [_masks(w) for w in self.words]
         self.answers = [(_masks(w.tolist()), len(w)) for w in block.answers]
-        self.bags = [dict(zip(w, model.idf[w].tolist())) for w in self.words]
-        self.least = [WEIGHT * w for w in block.weight.tolist()]
-        self._index(model.idf)
-
-    def _index(self, idf: np.ndarray) -> None:
-        """Terms -> the passages with them and their weight there, and the weight that a window must have of them.
-
-        A passage's commonest terms are left out as far as they weigh less than half of
-        what it needs; what they may add is taken off the need, so that every window
-        that ``share`` accepts has it.
-        """
-        terms, weights, need = [], [], np.empty(len(self.words))
-        for p, words in enumerate(self.block.words):
-            own, tf = np.unique(words, return_counts=True)
-            order = np.argsort(idf[own], kind="stable")
-            own, weight = own[order], (tf * idf[own])[order]
-            common = np.searchsorted(np.cumsum(weight), self.least[p] / 2)
-            need[p] = self.least[p] - weight[:common].sum() - 1e-6 * weight.sum()
-            terms.append(own[common:])
-            weights.append(weight[common:])
-        sizes = [len(t) for t in terms]
-        term = np.concatenate(terms)
-        order = np.argsort(term, kind="stable")
-        self.of_passage = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.of_weight = np.concatenate(weights)[order]
-        self.need = need
-        # One more term for -1, which no passage has.
-        self.count = np.bincount(term, minlength=len(idf) + 1)
-        self.start = np.cumsum(self.count) - self.count
-
-    def heavy(self, windows: np.ndarray) -> np.ndarray:
-        """``windows x passages``: whether a window has the weight that the passage needs."""
-        size = len(self.need)
-        row, column = np.nonzero(self.count[windows])
-        pairs = np.unique(row * len(self.count) + windows[row, column])
-        row, term = np.divmod(pairs, len(self.count))
-        count = self.count[term]
-        at = np.arange(count.sum()) + np.repeat(self.start[term] - (np.cumsum(count) - count), count)
-        cell = np.repeat(row * size, count) + self.of_passage[at]
-        found = np.bincount(cell, self.of_weight[at], minlength=len(windows) * size)
-        return found.reshape(len(windows), size) >= self.need
+        sizes = np.minimum([len(w) for w in self.words], SHORT)
+        self.runs = [_Runs(block.words, int(n), np.flatnonzero(sizes == n).tolist()) for n in np.unique(sizes)]
+        self.long = sizes == SHORT
 
     def find(self, column: pa.Array) -> list[list[tuple]]:
         """For each text the items in it, with the share of words in order."""
@@ -310,25 +293,27 @@ class _Search:
             double = ~last[window]
             sums[double] += latent[window[double] + 1]
             sums = _unit(sums)
-            step = min(2048, max(1, CELLS // len(self.need)))
+            step = min(2048, max(1, CELLS // len(self.words)))
             for i in range(0, len(window), step):
                 part = window[i : i + step]
                 follows = np.where(double[i : i + step, None], rows[np.minimum(part + 1, len(rows) - 1)], -1)
-                near = sums[i : i + step] @ self.latent >= COSINE
-                near |= self.heavy(np.concatenate([rows[part], follows], axis=1))
-                for a, p in zip(*np.nonzero(near)):
+                near = (sums[i : i + step] @ self.latent >= COSINE) & self.long
+                pairs, whole = near.copy(), np.concatenate([rows[part], follows], axis=1)
+                for runs in self.runs:
+                    pairs[runs.find(whole)] = True
+                for a, p in zip(*np.nonzero(pairs)):
                     at = window[i + a]
-                    share = self.share(rows[at : at + 1 + double[i + a]].ravel().tolist(), p)
+                    share = self.share(rows[at : at + 1 + double[i + a]].ravel().tolist(), p, near[a, p])
                     if share:
                         out[first + doc[at]].append((self.block.items[p], share))
         return out
 
-    def share(self, window: list[int], p: int) -> float:
-        """Share of the passage's words that the window has in order, zero if it isn't found."""
-        words, there = self.words[p], set(window)
-        bag = self.bags[p]
-        if sum([bag[w] for w in words if w in there]) < self.least[p]:
-            return 0.0
+    def share(self, window: list[int], p: int, near: bool) -> float:
+        """Share of a candidate's words that the window has in order, zero if it isn't found.
+
+        A paraphrase must be ``near`` in the latent space, a verbatim stretch need not.
+        """
+        words = self.words[p]
         if len(words) < SHORT:
             runs = (window[i : i + len(words)] == words for i in range(len(window) - len(words) + 1))
             return float(any(runs))
@@ -336,7 +321,7 @@ class _Search:
         if share >= LCS:
             return share
         masks, size = self.answers[p]
-        return share if share >= PARAPHRASE and lcs_length(masks, size, window) >= ANSWER * size else 0.0
+        return share if near and share >= PARAPHRASE and lcs_length(masks, size, window) >= ANSWER * size else 0.0
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", with_rows: bool = False) -> DataFrame:
@@ -345,12 +330,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     Benchmark items are cut into passages and documents read in overlapping windows,
     whole.  Weights are inverse frequencies among all documents' passages; a randomised
-    SVD of the passages' TF-IDF matrix gives a latent space; windows and passages whose
-    cosine in it is large enough are candidates, and so are all that have the weight in
-    common without which none counts: neither the rank nor the other words of a window
-    lose a passage.  A candidate counts if the passage's words lie in the window in
-    order for the most part, or to a lesser part along with the item's last words (its
-    answer), and weigh enough.
+    SVD of the passages' TF-IDF matrix gives a latent space.  Windows and passages whose
+    cosine in it is large enough are candidates: that is how paraphrases are found.  A
+    verbatim stretch, whose cosine the other words of its window may swamp, makes a pair a
+    candidate by a run of eight words, or by all words of a shorter passage.  A candidate
+    counts if the passage's words lie in the window in order for the most part; one that is
+    near in the latent space also to a lesser part along with the item's last words (its
+    answer).
 
     ``item_ids`` are the items found, in order; ``score`` the largest share of words
     in order (0: none).  Null and empty texts hold nothing; null and empty items are not
@@ -366,9 +352,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     kept += [F.struct(*docs.columns).alias("row")] if with_rows else []
     if items:
         rows = term_table(docs, terms, text_col, kept)
-        model = fit_benchmark(items, rows, terms, queries)
-        for block in model.blocks:
-            rows = rows.mapInArrow(_searcher(model, block), rows.schema)
+        space, blocks_ = fit_benchmark(items, rows, terms, queries)
+        sent = [docs.sparkSession.sparkContext.broadcast(vars(b)) for b in blocks_]
+        rows = rows.mapInArrow(_searcher(space, sent), rows.schema)
     else:
         rows = docs.select(*kept)
     found = F.transform("hits", lambda x: x["item"])
@@ -385,14 +371,19 @@ def _hit(item_type) -> StructType:
     return StructType([StructField("item", item_type), StructField("share", DoubleType())])
 
 
-def _searcher(model: BenchmarkModel, block: Passages):
+def _searcher(space: np.ndarray, blocks_: list[Broadcast]):
+    """One block of passages after the other is looked for; a task holds one at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = _Search(model, block)
+        search = None
         for batch in batches:
-            found = search.find(batch["dims"])
+            hits = [[] for _ in range(batch.num_rows)]
+            for block in blocks_:
+                if search is None or len(blocks_) > 1:
+                    search = _Search(space, Passages(**block.value))
+                for own, found in zip(hits, search.find(batch["dims"])):
+                    own += [{"item": i, "share": s} for i, s in found]
             at = batch.schema.get_field_index("hits")
-            old = batch["hits"].to_pylist()
-            hits = [o + [{"item": i, "share": s} for i, s in f] for o, f in zip(old, found)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(hits, batch["hits"].type))
 
     return run
