@@ -7,6 +7,8 @@ import os
 
 import numpy as np
 
+from sheetloom.llm.pretokens import pieces
+
 #: Folder of the vocabulary files; every executor must have it at this path.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -14,7 +16,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: The vocabulary's own pre-tokenization pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Longer texts are encoded in pieces of about so many characters.
+#: Longer texts are encoded in parts of about so many characters, where they have a place to cut.
 PIECE = 50_000
 
 
@@ -36,17 +38,10 @@ class Bpe:
         self._bytes = {rank: token for token, rank in self.ranks.items()}
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text.  Long texts are cut, preferably before a space."""
-        if len(text) <= PIECE:
-            return np.array(self._codec.encode_ordinary(text), np.uint32)
-        ids, start = [], 0
-        while start < len(text):
-            end = min(start + PIECE, len(text))
-            if end < len(text):
-                space = text.rfind(" ", start + 1, end)
-                end = space if space > 0 else end
-            ids.extend(self._codec.encode_ordinary(text[start:end]))
-            start = end
+        """Ids of a text.  Long texts are cut where every pre-token ends, so ids don't depend on the length."""
+        ids: list[int] = []
+        for piece in pieces(text, PIECE):
+            ids.extend(self._codec.encode_ordinary(piece))
         return np.array(ids, np.uint32)
 
     def decode(self, ids) -> str:
