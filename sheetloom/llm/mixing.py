@@ -71,7 +71,9 @@ def mix_documents(
     the first of them fill what the target still lacks, to within half a document.
 
     The prefix sum behind "first" is made in two steps, over bins of the rank and
-    within a bin, so that a source with a third of all rows is many tasks.
+    within a bin, so that a source with a third of all rows is many tasks.  Bins are cut
+    on the rank as it would be spread if all documents had the source's mean probability,
+    so they are of about equal size also where that is close to 0 or 1.
 
     Random numbers are hashes of id and text: reruns agree, and repeated rows tie
     (either of them may get the copy, the result is the same).  Null texts have size
@@ -106,7 +108,7 @@ def mix_documents(
         .withColumn("p", F.greatest(F.col("expected") - F.col("whole"), F.lit(0.0)))
         .withColumn("u", uniform(F.col("row_key")))
         .withColumn("z", F.when(F.col("p") > 0, odds / (odds + (1 - F.col("u")) * F.col("p"))))
-        .withColumn("bin", F.floor(F.coalesce("z", "u") * BINS))
+        .withColumn("bin", F.floor(F.coalesce(_evened("z", ratio), "u") * BINS))
         .withColumn("ranked", F.when(F.col("z").isNotNull(), F.col("size")).otherwise(0))
         .select("doc_id", "row_key", "size", "source_no", "source_size", "target", "whole", "z", "bin", "ranked")
     )
@@ -135,6 +137,13 @@ def mix_documents(
     )
 
 
+def _evened(z: str, ratio: Column) -> Column:
+    """A rank, in the same order, as the random number that gives it at the source's mean probability."""
+    p = F.least(F.greatest(ratio - F.floor(ratio + 1e-9), F.lit(1e-9)), F.lit(1 - 1e-9))
+    odds = F.col(z) * p
+    return odds / (odds + (1 - F.col(z)) * (1 - p))
+
+
 def sample_mix(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
@@ -188,7 +197,7 @@ planned AS (
          greatest(target / source_size - floor(target / source_size + 1e-9), 0) AS p,
          md5('42:' || doc_id || ':' || md5(body)) AS row_key,
          (('0x' || substr(row_key, 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
-  FROM sized JOIN targets USING (source)),
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 ranked AS (
   SELECT *, CASE WHEN p > 0 THEN u * (1 - p) / (u * (1 - p) + (1 - u) * p) END AS z FROM planned),
 summed AS (
