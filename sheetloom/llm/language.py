@@ -134,7 +134,7 @@ def detect_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     languages, ``lang_pred`` the largest (ties: the first by name), ``score`` its
     share.
 
-    Null texts and texts without a letter are ``und`` with score 0, as is everything
+    Null texts and texts without a letter (marks alone are none) are ``und`` with score 0, as is everything
     where no language was learned.  Rows are independent: repeated rows get equal
     results; extra columns are ignored.
     """
@@ -153,6 +153,7 @@ def detect_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
                 like = np.add.reduceat(table[buckets], words, 0)
                 doc, begin = np.unique(np.searchsorted(starts, places[words], "right") - 1, return_index=True)
                 shares[first + doc] = infer_mixtures(like, begin)
+            shares[~batch["lettered"].to_numpy(zero_copy_only=False)] = 0
             best = shares.argmax(1) if languages else np.zeros(batch.num_rows, int)
             score = shares.max(1) if languages else np.zeros(batch.num_rows)
             pred = [languages[b] if s > 0 else "und" for b, s in zip(best, score)]
@@ -167,5 +168,6 @@ def detect_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
                 names=["id", "lang_pred", "score", "shares"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), letters(text_col).alias("text"))
+    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered")
+    rows = docs.select(F.col(id_col).alias("id"), letters(text_col).alias("text"), lettered)
     return rows.mapInArrow(run, f"id {id_type}, lang_pred string, score double, shares map<string,double>").withColumnRenamed("id", id_col)
