@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.llm.tokens import Bpe, vocabulary_path
 from sheetloom.session import run_dir
+from sheetloom.sources.changes import open_folder
 from sheetloom.sources.staging import collected, release, stage
 
 ROUNDS = 6
@@ -163,9 +164,7 @@ def _write(folder: str, total: int, n_sequences: int, length: int, shard_size: i
     """Pieces, a partition's shards one after the other -> shard files and a manifest row per sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        files, root = fs.FileSystem.from_uri(folder)
+        files, root = open_folder(folder)
         order, unpack = Feistel(n_sequences, key), zstandard.ZstdDecompressor()
         shard, buffer, docs, id_type = None, None, {}, None
 
@@ -268,7 +267,7 @@ def _write_shards(
     n_shards = max(1, -(-n_sequences // shard_size))
     out = f"{folder.rstrip('/')}/manifest"
     _write_meta(spark, folder, {"length": length, "shard_size": shard_size, "key": key, "n_sequences": n_sequences, "n_tokens": total, "end": end})
-    placed = chunks.join(F.broadcast(offsets), F.col("part") == F.col("of_part")).select(
+    placed = chunks.join(offsets, F.col("part") == F.col("of_part")).select(
         (F.col("offset") + F.col("start")).alias("first"), "n", "ids", "lengths", "tokens"
     )
     pieces = placed.mapInArrow(
@@ -295,9 +294,7 @@ def read_training_order(spark: SparkSession, folder: str, first_slot: int = 0) -
     shards = spark.range(first_slot // size, -(-n // size)).repartition(F.col("id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        files, root = fs.FileSystem.from_uri(folder)
+        files, root = open_folder(folder)
         for batch in batches:
             for shard in batch["id"].to_pylist():
                 slot = max(first_slot, shard * size)
