@@ -64,5 +64,5 @@ def heavy_hitters(
 
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tree = rows.mapInArrow(summed, SCHEMA).repartition(width).mapInArrow(merged, SCHEMA)
-    found = tree.coalesce(1).mapInArrow(merged, SCHEMA).collect()
+    found = tree.repartition(1).mapInArrow(merged, SCHEMA).collect()
     return {item: n for r in found for item, n in zip(r["items"], r["counts"])}

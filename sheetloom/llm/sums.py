@@ -32,5 +32,5 @@ def add_up(parts: DataFrame) -> dict[str, np.ndarray]:
     Arrays have a fixed length, so that the driver gets a bounded amount; they are
     added in two steps, and each task holds one total at a time.
     """
-    tree = parts.repartition(16).mapInArrow(_add, SCHEMA).coalesce(1).mapInArrow(_add, SCHEMA)
+    tree = parts.repartition(16).mapInArrow(_add, SCHEMA).repartition(1).mapInArrow(_add, SCHEMA)
     return {r["name"]: np.frombuffer(zlib.decompress(r["sums"]), "<f8") for r in tree.collect()}
