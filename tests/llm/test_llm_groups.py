@@ -256,6 +256,66 @@ def extracted(pages):
     return out
 
 
+def _without_wrapper(page):
+    found, texts = parse(page)
+    return [texts[i] for i in main_texts(Node("page", []), found)]
+
+
+def _some(dice, n):
+    return " ".join("".join(dice.choices("abcdefg", k=5)) for _ in range(n))
+
+
+def test_what_varies_across_pages_is_the_main_text():
+    """Nothing is named: only the other pages of the host tell the article from what is around it."""
+    dice = random.Random(7)
+    pages, wanted = [], []
+    for i in range(40):
+        own = [_some(dice, 4), *(_some(dice, 25) for _ in range(dice.randint(2, 5)))]
+        blocks = f"<h1>{own[0]}</h1>" + "".join(f"<p>{t}</p>" for t in own[1:])
+        rail = '<div class="rail"><a href=x>Home</a><ul><li>News<li>Sport</ul></div>'
+        pages.append(f'<body>{rail}<div class="col">{blocks}</div><div class="bottom">Page {i}</div></body>')
+        wanted.append(own)
+    assert extracted(pages) == wanted
+    assert all(_without_wrapper(p) != w for p, w in zip(pages, wanted))
+
+
+def test_fixed_lines_of_like_boxes_are_out():
+    dice = random.Random(8)
+    own = [[_some(dice, 3), _some(dice, 30)] for _ in range(10)]
+    pages = [
+        f'<div class="page"><div class="c1"><p>Site menu home</p><p>All rights</p></div><div class="c2"><h2>{h}</h2><p>{t}</p></div></div>'
+        for h, t in own
+    ]
+    assert extracted(pages) == own and _without_wrapper(pages[0]) != own[0]
+
+
+def test_names_that_only_contain_a_word_do_not_decide():
+    """In an article, what varies stays whatever it is called; what never varies and is called so goes."""
+    dice = random.Random(9)
+    own = [[_some(dice, n) for n in (4, 20, 15, 30)] for _ in range(5)]
+    pages = [
+        f'<article><h1>{a}</h1><div class="social-policy"><p>{b}</p></div><p class="legal-text">{c}</p><p>{d}</p>'
+        f'<div class="share-buttons">Share {i}</div><p class="legal-line">All rights</p></article>'
+        for i, (a, b, c, d) in enumerate(own)
+    ]
+    assert extracted(pages) == own and _without_wrapper(pages[0]) != own[0]
+
+
+def test_long_unlike_pages_are_aligned_in_their_length(monkeypatch):
+    def page(k):
+        names = ("".join(chr(97 + (i * 7 + k * j) % 26) for j in (1, 2)) for i in range(3000))
+        return "<article>" + "".join(f'<div class="k{n}"><p>{k} {i}</p></div>' for i, n in enumerate(names)) + "</article>"
+
+    from sheetloom.llm import wrapper
+
+    pages = [page(1), page(3)]
+    assert [len(t) for t in extracted(pages)] == [3000, 3000]
+    short = [p[:4000] for p in pages]
+    exact = extracted(short)
+    monkeypatch.setattr(wrapper._pairs, "__defaults__", (0,))
+    assert extracted(short) == exact
+
+
 def test_mixed_layouts_keep_their_texts():
     """Blocks of an article in any order: what folds into groups must still be found."""
     dice = random.Random(2)
