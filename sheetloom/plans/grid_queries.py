@@ -14,7 +14,7 @@ from sheetloom.plans.inputs import derived, derived_sql, sheet_books, sheet_cell
 from sheetloom.plans.merge_checks import entity_select, merged_ctes
 from sheetloom.plans.registry import query
 from sheetloom.session import run_dir
-from sheetloom.sources.sinks import read_csv, write_csv
+from sheetloom.sources.sinks import read_csv, write_csv, write_lines
 from sheetloom.sources.workbook import decode, decode_rows
 
 _SYNONYMS = [(i, s, c) for i, (s, c) in enumerate(V.HEADER_SYNONYMS)]
@@ -223,3 +223,31 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     write_csv(I.export_table(_staged(spark, sf)), path)
     columns = ", ".join(f"{c} string" for c in V.CANONICAL_COLUMNS)
     return read_csv(spark, path, f"file string, row_idx bigint, {columns}")
+
+
+def _csv(v: str) -> str:
+    quoted = f"""'"' || replace({v}, '"', '""') || '"'"""
+    return f"""CASE WHEN {v} IS NULL THEN '' WHEN {v} = '' OR regexp_matches({v}, '[",\\s]') THEN {quoted} ELSE {v} END"""
+
+
+_OWN = " ".join(f"WHEN '{c}' THEN c.{c}" for c in V.CANONICAL_COLUMNS)
+
+
+@query(
+    "csv_files",
+    f"""{_EXPORT},
+        added AS (SELECT DISTINCT file FROM mapped b WHERE contains(file, '2023') AND NOT {_HAS.format('region')} AND {_HAS.format('nation')}),
+        own AS (SELECT c.file, c.row_idx, m.col_idx, CASE m.col {_OWN} ELSE {C.collapse('k.value')} END AS v
+            FROM cleaned c JOIN mapped m ON m.file = c.file
+                 LEFT JOIN cells k ON k.file = c.file AND k.row_idx = c.row_idx AND k.col_idx = m.col_idx),
+        lines AS (SELECT file, row_idx, string_agg({_csv('v')}, ',' ORDER BY col_idx) AS line FROM own GROUP BY file, row_idx)
+        SELECT c.file, l.line || CASE WHEN a.file IS NULL THEN '' ELSE ',' || {_csv('c.region')} END AS line
+        FROM cleaned c JOIN lines l ON l.file = c.file AND l.row_idx = c.row_idx LEFT JOIN added a ON a.file = c.file
+        UNION ALL SELECT m.file, string_agg({_csv('m.col')}, ',' ORDER BY m.col_idx) || CASE WHEN max(a.file) IS NULL THEN '' ELSE ',region' END
+        FROM mapped m LEFT JOIN added a ON a.file = m.file GROUP BY m.file""",
+)
+def csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Each file as CSV with all of its own columns, as written and read back."""
+    path = run_dir(spark, "csv_files")
+    write_lines(I.export_lines(_staged(spark, sf)), path)
+    return spark.read.schema("line string, file string").text(path)

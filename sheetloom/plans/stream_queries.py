@@ -1,4 +1,4 @@
-"""Streams of workbooks: files set aside, and files that are written anew (S13, ST1)."""
+"""Folders and streams of workbooks: listing, whole runs, files set aside or written anew (S2, S13, S14, ST1)."""
 
 from __future__ import annotations
 
@@ -12,9 +12,10 @@ from sheetloom.plans import ingest as I
 from sheetloom.plans.grid_queries import entities_of
 from sheetloom.plans.inputs import derived, derived_sql, sheet_books, sheet_cells, sheet_cells_sql
 from sheetloom.plans.merge_checks import merged_ctes
-from sheetloom.plans.registry import query
+from sheetloom.plans.registry import CHECKS, query
 from sheetloom.session import run_dir
 from sheetloom.sources.changes import open_folder
+from sheetloom.sources.workbook import list_workbooks
 from sheetloom.streaming.incremental import CatalogueStore, start_merging
 
 _BROKEN = "BadZipFile: File is not a zip file"
@@ -71,6 +72,27 @@ def write_books(books: DataFrame, folder: str) -> None:
     books.mapInArrow(write, "file string").count()
 
 
+def folder_of_books(spark: SparkSession, sf: str, name: str) -> str:
+    """The sheets as workbooks in a folder of their own, with lock files beside some of them."""
+    folder = f"{run_dir(spark, name)}/in"
+    books = sheet_books(sheet_cells(spark, sf))
+    locks = books.filter("file LIKE '2024%'").withColumn("file", F.concat(F.lit("~$"), "file"))
+    write_books(books.unionByName(locks), folder)
+    return folder
+
+
+@query("folder_listing", f"SELECT DISTINCT file FROM ({derived_sql('d_sheet')}) s")
+def folder_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The workbooks of a folder, lock files left out."""
+    return list_workbooks(spark, folder_of_books(spark, sf, "listing")).select("file")
+
+
+@query("folder_run", CHECKS["stage_counts"])
+def folder_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over a folder, up to the load: what each step has left of each file."""
+    return I.ingest_workbooks(spark, folder_of_books(spark, sf, "folder")).counts
+
+
 @query(
     "rewritten_file",
     f"""WITH {entities_of(_BOTH)},

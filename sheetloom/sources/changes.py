@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import posixpath
 import re
+import time
 from collections.abc import Iterator
 from fnmatch import fnmatch
 
@@ -79,9 +80,9 @@ class FileVersionReader(DataSourceStreamReader):
         self.folder, self.pattern = options["path"], options.get("pattern", "*")
         self.most = int(options.get("filesPerBatch", 0))
         self.bytes_per_task = int(options.get("bytesPerTask", 64 << 20))
-        self.log_folder = options["log"]
+        self.log_folder, self.pause = options["log"], float(options.get("secondsBetween", 1))
         self._seen: dict[str, list] | None = None
-        self._last = 0
+        self._last, self._waiting, self._next = 0, [], 0.0
 
     def initialOffset(self) -> dict:
         return {"entry": 0}
@@ -94,9 +95,12 @@ class FileVersionReader(DataSourceStreamReader):
             for number in log.numbers():
                 self._seen |= {path: rest for path, *rest in log.read(number)}
                 self._last = number
-        new = [[path, *rest] for path, *rest in self._listed() if self._seen.get(path) != rest]
-        new.sort(key=lambda v: (v[1], v[0]))
-        new = new[: self.most] if self.most else new
+        if not self._waiting and time.monotonic() >= self._next:
+            found = ([path, *rest] for path, *rest in self._listed() if self._seen.get(path) != rest)
+            self._waiting = sorted(found, key=lambda v: (v[1], v[0]))
+            self._next = time.monotonic() + self.pause
+        most = self.most or len(self._waiting)
+        new, self._waiting = self._waiting[:most], self._waiting[most:]
         if new:
             self._last = log.append(new)
             self._seen |= {path: rest for path, *rest in new}
@@ -137,11 +141,11 @@ class FileVersionReader(DataSourceStreamReader):
 
 
 class FileVersions(DataSource):
-    """``path, version, length, content``; options ``path``, ``log``, ``pattern``, ``filesPerBatch``, ``bytesPerTask``.
+    """``path, version, length, content``; options ``path``, ``log``, ``pattern``, ``filesPerBatch``, ``bytesPerTask``, ``secondsBetween``.
 
-    ``version`` is the modification time in microseconds.  ``filesPerBatch`` bounds what
-    one look at the folder takes; a run through what is there (``availableNow``) looks
-    once.  The driver holds one entry for each file of the folder, as for any listing.
+    ``version`` is the modification time in microseconds.  ``filesPerBatch`` bounds a batch
+    of a stream that goes on; a run through what is there (``availableNow``) is one batch.
+    The folder is listed every ``secondsBetween`` at most.  The driver holds one entry for each file of the folder, as for any listing.
     """
 
     @classmethod

@@ -275,7 +275,7 @@ def test_versions_are_logged_once_and_read_after_a_stop(tmp_path):
     (source / "a.xlsx").write_bytes(b"1")
     (source / "deep" / "b.xlsx").write_bytes(b"22")
     (source / "c.txt").write_bytes(b"3")
-    options = {"path": str(source), "log": log, "pattern": "*.xlsx,*.xls", "filesPerBatch": "1"}
+    options = {"path": str(source), "log": log, "pattern": "*.xlsx,*.xls", "filesPerBatch": "1", "secondsBetween": "0"}
     reader = FileVersionReader(options)
     assert reader.initialOffset() == {"entry": 0}
     assert [reader.latestOffset()["entry"] for _ in range(3)] == [1, 2, 2]
