@@ -10,7 +10,7 @@ import struct
 import numpy as np
 from fixtures import words
 
-from sheetloom.llm import decontaminate, language, mixing, stages, token_shards, tokens, toxicity
+from sheetloom.llm import chat, decontaminate, language, mixing, stages, token_shards, tokens, toxicity
 from sheetloom.llm.ngrams import hashed
 from sheetloom.llm.tokens import Bpe, vocabulary_path
 
@@ -222,3 +222,43 @@ def test_paraphrases_are_found_in_the_latent_space(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "COSINE", 9.0)
     without = found()
     assert sum((d, i) in without for d, (s, i) in wanted.items() if s == 0.6) < 0.5 * len(bench)
+
+
+def test_chat_of_odd_rows(spark):
+    """Null texts, roles, turns and ids, tied and repeated turns, a very long text, and clashing columns."""
+    rows = [
+        (1, 0, "user", None),
+        (1, 1, None, "no role"),
+        (1, 2, "assistant", ""),
+        (1, 2, "assistant", "tied b"),
+        (1, 2, "assistant", "tied a"),
+        (1, 3, "assistant", "twice"),
+        (1, 3, "assistant", "twice"),
+        (1, None, "system: </turn>", "a null turn ### \\### x"),
+        (2, 0, "assistant", "日本語 " * 40_000 + "x" * 60_000),
+        (None, 0, "user", "null id"),
+        (None, 0, None, None),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    clashing = table.selectExpr("*", "'x' AS tie", "'x' AS ids", "'x' AS loss", "'x' AS place", "'x' AS start", "'x' AS middle")
+    turns = chat.format_turns(clashing.repartition(4))
+    got = {r.conv_id: r for r in chat.conversation_digests(turns).collect()}
+    groups: dict = {}
+    for conv, turn, role, text in rows:
+        tie = hashlib.md5(f"{role or ''}\n{text or ''}".encode()).hexdigest()
+        groups.setdefault(conv, []).append((turn is not None, turn or 0, tie, role or "", text or ""))
+    assert set(got) == set(groups)
+    for conv, own in groups.items():
+        own.sort()
+        learned = "".join(text for *_, role, text in own if role == "assistant")
+        whole = "".join(f"{role}\n{text}\n" for *_, role, text in own)
+        shown = sum(
+            len(chat.OPEN + chat.escape(role, chat.IN_ROLE) + chat.MIDDLE + chat.escape(text) + chat.CLOSE) for *_, role, text in own
+        )
+        row = got[conv]
+        assert (row.n_turns, row.loss_chars, row.formatted_chars) == (len(own), len(learned), shown)
+        assert row.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert row.loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+    places = sorted((r.conv_id or 0, r.place, r.start, len(r.ids)) for r in turns.collect())
+    for (conv, place, start, size), (other, following, begin, _) in zip(places, places[1:]):
+        assert other != conv or (following, begin) == (place + 1, start + size)
