@@ -11,6 +11,8 @@ SCHEMA = "items array<string>, counts array<long>"
 
 #: Items that a summary holds at most once it is cut.
 KEPT = 1 << 14
+#: Summaries that a task of the tree merges, about.
+FAN = 32
 
 
 class Summary:
@@ -44,8 +46,9 @@ def heavy_hitters(
     """The most frequent items of all rows and counts that are short by a bounded part.
 
     ``counted`` gives the items of a batch with their counts in it.  Every task sums
-    its rows up in a summary of at most ``kept`` items; summaries are merged in two
-    steps, so what the driver and any task hold does not grow with the table.
+    its rows up in a summary of at most ``kept`` items; summaries are merged in a tree,
+    by as many tasks as the session shuffles to, then by some, then by one, so what the
+    driver and any task hold does not grow with the table.
     """
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +65,9 @@ def heavy_hitters(
                 summary.add(items.as_py(), counts.as_py())
         yield summary.batch()
 
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tree = rows.mapInArrow(summed, SCHEMA).repartition(width).mapInArrow(merged, SCHEMA)
+    width, tree = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.mapInArrow(summed, SCHEMA)
+    while width > 1:
+        tree = tree.repartition(width).mapInArrow(merged, SCHEMA)
+        width //= FAN
     found = tree.repartition(1).mapInArrow(merged, SCHEMA).collect()
     return {item: n for r in found for item, n in zip(r["items"], r["counts"])}
