@@ -15,7 +15,7 @@ from sheetloom.llm.heavy import heavy_hitters
 from sheetloom.sources.staging import stage
 
 #: Bytes of text that one flush of stripes counts, and entries that are merged at once.
-BYTES = 12 << 20
+BYTES = 6 << 20
 ENTRIES = 1 << 20
 #: A stripe is split by its next words into one part for every so much of all words.
 SHARE = 1 / 2048

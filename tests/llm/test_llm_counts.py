@@ -140,7 +140,7 @@ def _collocation_rows():
     return rows + odd_rows() + [(1000, "alpha beta gamma " * 30_000, "en", None, None)]
 
 
-@pytest.mark.parametrize("size", [12 << 20, 2000])
+@pytest.mark.parametrize("size", [6 << 20, 2000])
 def test_collocations_equal_a_plain_count(spark, monkeypatch, size):
     """Also with many small flushes, merged some keys at a time, and with stripes that are split."""
     if size < 10_000:
