@@ -25,7 +25,7 @@ PASSAGE = 40
 #: Latent dimensions, dimensions of the random sketch, passes over the matrix.
 RANK, SKETCH, PASSES = 192, 224, 4
 #: Least cosine of a candidate.
-COSINE = 0.4
+COSINE = 0.6
 #: A passage is found where this share of its words lies in a window in order ...
 LCS = 0.6
 #: ... or this share (a paraphrase) along with the answer: the item's last words.
