@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import math
 import re
 import zlib
 from collections.abc import Callable, Generator, Iterator
@@ -39,8 +40,6 @@ CLOSES = {
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th"), "tfoot": ("tr", "td", "th"),
 }
 SCOPES = frozenset("ul ol dl table".split())
-#: Cells of a table of common sequences, at most.
-CELLS = 1 << 20
 #: An element with this share of the varying text of a page without named elements holds its main text.
 MOST = 0.7
 
@@ -329,12 +328,18 @@ def _align(a: list[Node], b: list[Node]) -> Generator:
     return (yield _fold(out))
 
 
-def _pairs(a: list[Node], b: list[Node], cells: int = CELLS) -> list[tuple[int, int]]:
-    """Places of the longest common sequence.
+def _likeness(node: Node) -> str | tuple[str, ...]:
+    """Two nodes are ``_same`` where these are equal."""
+    return tuple(c.key for c in node.children) if node.key == "()" else node.key
 
-    What both begin and end with needs no table.  Where the rest would need more than
-    ``cells``, each node takes the next one like it, which is a common sequence in time
-    and memory of their length, if not the longest.
+
+def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
+    """Places of the longest common sequence, whatever the lengths.
+
+    What both begin and end with needs no table.  A row of the table is one number whose
+    bits say where the length grows along ``b``; a row follows from the one below it by
+    a sum.  Only the rows of one block of ``a``, and the row that each block begins with,
+    are held at once, so memory grows with the length of one times the root of the other's.
     """
     first, shorter = 0, min(len(a), len(b))
     while first < shorter and _same(a[first], b[first]):
@@ -344,35 +349,64 @@ def _pairs(a: list[Node], b: list[Node], cells: int = CELLS) -> list[tuple[int,
         last += 1
     ends = [(len(a) - k, len(b) - k) for k in range(last, 0, -1)]
     pairs = [(k, k) for k in range(first)]
-    rows, cols = len(a) - last, len(b) - last
-    if (rows - first) * (cols - first) > cells:
-        return pairs + _next_like(a, b, first, rows, cols) + ends
-    best = [[0] * (cols - first + 1) for _ in range(rows - first + 1)]
-    for i in range(rows - first - 1, -1, -1):
-        for j in range(cols - first - 1, -1, -1):
-            score = max(best[i + 1][j], best[i][j + 1])
-            if _same(a[first + i], b[first + j]):
-                score = max(score, best[i + 1][j + 1] + 1)
-            best[i][j] = score
-    i = j = 0
-    while first + i < rows and first + j < cols:
-        if _same(a[first + i], b[first + j]) and best[i][j] == best[i + 1][j + 1] + 1:
-            pairs.append((first + i, first + j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
-    return pairs + ends
+    rows = [_likeness(n) for n in a[first : len(a) - last]]
+    cols = [_likeness(n) for n in b[first : len(b) - last]]
+    if not rows or not cols:
+        return pairs + ends
+    return pairs + [(first + i, first + j) for i, j in _common(rows, cols)] + ends
+
 
+def _common(rows: list, cols: list) -> list[tuple[int, int]]:
+    """Of all longest common sequences, the one that takes a match at once and else leaves out of ``rows`` first.
 
-def _next_like(a: list[Node], b: list[Node], first: int, rows: int, cols: int, ahead: int = 64) -> list[tuple[int, int]]:
-    pairs, j = [], first
-    for i in range(first, rows):
-        found = next((k for k in range(j, min(j + ahead, cols)) if _same(a[i], b[k])), None)
-        if found is not None:
-            pairs.append((i, found))
-            j = found + 1
+    Bit ``k`` of a row counts from the end of ``cols`` and is 0 where the length grows.
+    """
+    size, width = len(cols), len(cols) + 7 >> 3
+    full, places = (1 << size) - 1, {}
+    for k, key in enumerate(reversed(cols)):
+        places.setdefault(key, []).append(k)
+    masks = {}
+    for key in set(rows) & places.keys():
+        bits = bytearray(width)
+        for k in places[key]:
+            bits[k >> 3] |= 1 << (k & 7)
+        masks[key] = int.from_bytes(bits, "little")
+
+    def above(row: int, i: int) -> int:
+        taken = row & masks.get(rows[i], 0)
+        return ((row + taken) | (row - taken)) & full
+
+    step = max(1, math.isqrt(len(rows)))
+    kept, row = {len(rows): full}, full
+    for i in range(len(rows) - 1, -1, -1):
+        row = above(row, i)
+        if i % step == 0:
+            kept[i] = row
+    pairs, j = [], 0
+    for start in range(0, len(rows), step):
+        end = min(start + step, len(rows))
+        block = [kept[end]]
+        for i in range(end - 1, start, -1):
+            block.append(above(block[-1], i))
+        block.append(kept[start])
+        for i in range(start, end):
+            # Whether the length from here on is less without this row.
+            left, upper, lower = size - j, block[end - i], block[end - i - 1]
+            if cols[j] != rows[i]:
+                below = (1 << left) - 1
+                gain = (lower & below).bit_count() - (upper & below).bit_count()
+                if gain:
+                    with_it, without = upper.to_bytes(width, "little"), lower.to_bytes(width, "little")
+                while gain and cols[size - left] != rows[i]:
+                    left -= 1
+                    at, bit = left >> 3, 1 << (left & 7)
+                    gain += bool(with_it[at] & bit) - bool(without[at] & bit)
+                j = size - left
+            if cols[j] == rows[i]:
+                pairs.append((i, j))
+                j += 1
+                if j == size:
+                    return pairs
     return pairs
 
 
