@@ -46,6 +46,17 @@ def top_rows(grid: DataFrame) -> DataFrame:
     return top.filter("top").drop("top") if "top" in grid.columns else as_rows(top)
 
 
+def _beside(rows: DataFrame, records: DataFrame) -> DataFrame:
+    """Rows with their file's record, nulls where it has none.
+
+    Staged rows are small on disk and many times larger in memory, so they must not be
+    taken for the side to broadcast; of a left join only the records can be.  Filters on
+    them have to let nulls through to stay behind it (``coalesce``), or Spark makes it an
+    inner join.
+    """
+    return rows.join(records, "file", "left")
+
+
 def header_rows(
     grid: DataFrame, synonyms: list[tuple[str, str]] = V.HEADER_SYNONYMS
 ) -> DataFrame:
@@ -101,9 +112,8 @@ def header_map(
     ``column`` is the canonical name with a suffix from its second use on.
     """
     cells = (
-        top_rows(grid)
-        .join(headers, "file")
-        .filter(F.col("row_idx") == F.col("header_row"))
+        _beside(top_rows(grid), headers)
+        .filter(F.coalesce(F.col("row_idx") == F.col("header_row"), F.lit(False)))
         .select("file", "header_row", F.posexplode("values").alias("col_idx", "value"))
         .withColumn("header", header_text(F.col("value"), F.col("col_idx")))
         .withColumn("canonical", canonical_name(F.col("header"), synonyms))
@@ -142,7 +152,8 @@ def grid_to_table(
     Rows take their values by their file's layout, which is broadcast where its size
     allows; beyond that Spark splits the rows of a long file.
     """
-    rows = as_rows(grid).join(layouts(mapped, columns), "file").filter(F.col("row_idx") > F.col("header_row"))
+    below = F.coalesce(F.col("row_idx") > F.col("header_row"), F.lit(False))
+    rows = _beside(as_rows(grid), layouts(mapped, columns)).filter(below)
     place = F.col("places")
     values = [F.when(place[i].isNotNull(), F.get("values", place[i])).alias(c) for i, c in enumerate(columns)]
     numbered = F.transform("values", lambda v, i: F.struct(i.alias("col_idx"), v.alias("value")))

@@ -177,7 +177,7 @@ def export_lines(grid: DataFrame) -> DataFrame:
         other = F.filter("others", lambda o: o["col_idx"] == column["col_idx"])
         return F.coalesce(F.try_element_at("own", column["column"]), F.get(other, 0)["value"])
 
-    body = rows.withColumn("own", own).join(names, "file").select(
+    body = rows.withColumn("own", own).join(names, "file", "left").select(
         "file", "row_idx", csv_line(F.concat(F.transform("columns", value), F.coalesce(added, F.array()))).alias("line")
     )
     with_region = listing.groupBy("file").agg(F.max(F.col("region_key").isNotNull()).alias("added"))

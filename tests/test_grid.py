@@ -174,3 +174,20 @@ def test_header_audit(spark):
     audit = {r.file: r for r in G.header_audit(G.header_map(grid, G.header_rows(grid))).collect()}
     assert audit["a"].missing == ["name_eng"] and audit["b"].missing == []
     assert audit["b"].columns == ["name_eng", "nation", "name_kor"]
+
+
+def test_rows_are_never_the_side_that_is_broadcast(spark):
+    """Staged rows are far smaller on disk than in memory, so their size there mustn't decide."""
+    sheets = {f"2023-1 {i:05d}.xlsx": [["국가", "대학명"]] + [["프랑스", "x"]] * 12 for i in range(300)}
+    rows = [(file, r, own) for file, body in sheets.items() for r, own in enumerate(body)]
+    grid = stage_grid(spark.createDataFrame(rows, "file string, row_idx long, values array<string>"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40k")
+    try:
+        mapped = G.header_map(grid, G.header_rows(grid))
+        table = G.grid_to_table(grid, mapped)
+        for found, n in ((mapped, 600), (table, 3600)):
+            assert len(found.collect()) == n
+            assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
