@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheetloom import vocabulary as V
-from sheetloom.operators.ids import hash_bucket, hash_ids
+from sheetloom.operators.ids import hash_bucket, hash_id, hash_slice, key_collisions
 from sheetloom.operators.merge import (
     KEPT,
     KEY,
@@ -52,6 +52,8 @@ STATE_SCHEMA = (
 
 #: So many commits are remembered, and known again if their batch comes a second time.
 REPLAYED = 1000
+#: Parts of a bucket that are merged apart, so that the number of tasks isn't that of the buckets.
+SLICES = 16
 
 
 @dataclass
@@ -236,23 +238,27 @@ class CatalogueStore:
 
     def _write(self, folder: str, commit: Commit, fresh: DataFrame, stored: DataFrame, wanted: list[int]) -> None:
         """The touched buckets with a batch in them."""
-        bucket, numbered = hash_bucket(KEY, self.n_buckets), None
+        spread = {"bucket": hash_bucket(KEY, self.n_buckets), "slice": hash_slice(KEY, self.n_buckets, SLICES)}
+        both, collisions = stored.unionByName(fresh, allowMissingColumns=True), None
         if self.ids == "hash":
             known = stored.select(*KEY).unionByName(fresh.select(*KEY)).distinct()
-            numbered, collisions = hash_ids(known, KEY)
+            collisions = key_collisions(known, KEY)
             collisions.write.mode("overwrite").parquet(f"{folder}/collisions/commit={commit.number}")
-            stored = stored.drop("id")
+            both = both.drop("id")
         else:
             known = existing_keys(stored.filter(F.col("id").isNotNull()), fresh)
             arrived = fresh.filter("first_seen IS NOT NULL").join(known, KEY, "left_anti").select(*KEY, "first_seen")
             ids = stage(assign_ids(arrived, commit.last_id).select(*KEY, "id"), "new_ids")
             commit.last_id = ids.agg(F.max("id")).first()[0] or commit.last_id
-            fresh = fresh.join(ids, KEY, "left")
-        both = stored.unionByName(fresh, allowMissingColumns=True).withColumn("bucket", bucket)
-        # Partitioned as they are written, records of a key need no other exchange to meet.
-        merged = combine(both.repartition("bucket"), key=["bucket", *KEY])
-        if numbered is not None:
-            merged = merged.join(numbered, KEY).repartition("bucket")
+            # A new id is a record that has nothing else; it meets its key's others in the merge.
+            both = both.unionByName(ids, allowMissingColumns=True)
+        # Shuffled nearly as they are written, records of a key need no other exchange to
+        # meet; a bucket is many tasks.
+        both = both.withColumns(spread).repartition(*spread)
+        merged = combine(both, key=[*spread, *KEY]).drop("slice")
+        if collisions is not None:
+            ranks = collisions.select(*KEY, "rank")
+            merged = merged.join(ranks, KEY, "left").withColumn("id", hash_id(KEY, F.col("rank"))).drop("rank")
         merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/state/commit={commit.number}")
         commit.buckets |= {str(b): commit.number for b in wanted}
 
@@ -354,7 +360,9 @@ def start_incremental(
     """
 
     def merge(df: DataFrame, batch: int) -> None:
-        store.apply(derive(df), batch, writer=stream_id(df.sparkSession))
+        # A file may be one row group, which one task reads.
+        dealt = df.repartition("file", "row_idx") if {"file", "row_idx"} <= set(df.columns) else df
+        store.apply(derive(dealt), batch, writer=stream_id(df.sparkSession))
 
     return start_merging(stream, merge, checkpoint)
 
