@@ -12,7 +12,7 @@ import re
 import zipfile
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -272,24 +272,24 @@ def sheet_cells_sql() -> str:
 
 def sheet_books(cells: DataFrame) -> DataFrame:
     """``file, content``: the grid's sheets as workbooks, one for each file."""
-    return cells.groupBy("file").applyInPandas(_book, "file string, content binary")
+    return cells.groupBy("file").applyInArrow(_book, "file string, content binary")
 
 
-def _book(cells: pd.DataFrame) -> pd.DataFrame:
+def _book(cells: pa.Table) -> pa.Table:
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     package = "http://schemas.openxmlformats.org/package/2006/relationships"
-    rows = []
-    for row, own in cells.dropna(subset=["value"]).sort_values(["row_idx", "col_idx"]).groupby("row_idx"):
-        line = []
-        for col, value in zip(own["col_idx"], own["value"]):
-            at = f'r="{chr(65 + col)}{row + 1}"'
-            number = value.isascii() and value.isdigit()
-            line.append(f"<c {at}><v>{value}</v></c>" if number else f'<c {at} t="inlineStr"><is><t>{escape(value)}</t></is></c>')
-        rows.append(f'<row r="{row + 1}">{"".join(line)}</row>')
+    lines: dict[int, list[str]] = {}
+    own = zip(*(cells[c].to_pylist() for c in ("row_idx", "col_idx", "value")))
+    for row, col, value in sorted((c for c in own if c[0] is not None and c[2] is not None), key=lambda c: c[:2]):
+        at = f'r="{chr(65 + col)}{row + 1}"'
+        number = value.isascii() and value.isdigit()
+        cell = f"<c {at}><v>{value}</v></c>" if number else f'<c {at} t="inlineStr"><is><t>{escape(value)}</t></is></c>'
+        lines.setdefault(row, []).append(cell)
+    rows = [f'<row r="{row + 1}">{"".join(line)}</row>' for row, line in lines.items()]
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as book:
         book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="S" sheetId="1" r:id="r1"/></sheets></workbook>')
         book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}"><Relationship Id="r1" Type="t" Target="worksheets/sheet1.xml"/></Relationships>')
         book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData>{"".join(rows)}</sheetData></worksheet>')
-    return pd.DataFrame({"file": [cells["file"].iloc[0]], "content": [data.getvalue()]})
+    return pa.table({"file": pa.array([cells["file"][0].as_py()], pa.string()), "content": pa.array([data.getvalue()], pa.binary())})

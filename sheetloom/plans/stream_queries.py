@@ -15,6 +15,7 @@ from sheetloom.plans.merge_checks import merged_ctes
 from sheetloom.plans.registry import CHECKS, query
 from sheetloom.session import run_dir
 from sheetloom.sources.changes import open_folder
+from sheetloom.sources.staging import stage
 from sheetloom.sources.workbook import list_workbooks
 from sheetloom.streaming.incremental import CatalogueStore, start_merging
 
@@ -37,7 +38,7 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Workbooks arrive in three batches, some cut short, some without a header, some mended later."""
     base = run_dir(spark, "quarantine")
     names = derived(spark, sf, "d_sheet").select("file", "f", "layout").distinct()
-    books = sheet_books(sheet_cells(spark, sf)).join(names, "file")
+    books = stage(sheet_books(sheet_cells(spark, sf)).join(names, "file"), "books")
     store = CatalogueStore(spark, f"{base}/store")
     for version, (arrives, broken) in enumerate(_ARRIVALS):
         content = F.when(F.expr(broken), F.substring("content", 1, 20)).otherwise(F.col("content"))
